@@ -210,6 +210,13 @@ def uncovered_labels(encounter: DataFrame, dimension: DataFrame, column: str) ->
     return labels.join(dimension.select(column), column, "left_anti")
 
 
+def counted(check: str, violations: DataFrame) -> DataFrame:
+    """A check given by its violating rows, as one row: check_name, violations."""
+    return violations.agg(
+        F.lit(check).alias("check_name"), F.count(F.lit(1)).alias("violations")
+    )
+
+
 def missing_keys(dimension: DataFrame, expected: DataFrame) -> DataFrame:
     """Rows of ``expected`` that the dimension does not hold exactly."""
     return expected.join(dimension.select(*expected.columns), expected.columns, "left_anti")

@@ -53,7 +53,7 @@ class Star:
         specialty_threshold: float = facts.DEFAULT_SPECIALTY_THRESHOLD,
         stored: Mapping[str, DataFrame] | None = None,
     ):
-        self.inputs = dict(inputs)
+        self.inputs = inputs
         self.run_ts = run_ts or now_utc()
         self.specialty_threshold = specialty_threshold
         self.stored = dict(stored or {})

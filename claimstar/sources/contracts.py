@@ -121,7 +121,7 @@ _COLUMNS = {
         member_month_id, data_source, ndc_code, paid_amount number, allowed_amount number,
         prescribing_provider_id, prescribing_provider_name,
         dispensing_provider_id, dispensing_provider_name,
-        paid_date date, dispensing_date date, days_supply number, quantity number,
+        paid_date date, dispensing_date date, days_supply int, quantity number,
         last_run_ts time
     """,
     "member_month": f"""

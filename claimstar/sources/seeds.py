@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimstar.sources.contracts import schema
 
-# Fixed values: 'inpatient long term acute care' is type 32 of group 1 everywhere. The other
-# labels and keys are this package's default; read_keys takes a full value set.
+# Keys that must hold in every value set.
+FIXED_TYPE_KEYS = (("inpatient long term acute care", "32", "1"),)
+
+# The labels and keys of this package's default; read_keys takes a full value set.
 GROUP_KEYS = (
     ("inpatient", "1"),
     ("outpatient", "2"),
@@ -19,7 +21,7 @@ TYPE_KEYS = (
     ("emergency department", "2", "2"),
     ("office visit", "3", "3"),
     ("urgent care", "4", "2"),
-    ("inpatient long term acute care", "32", "1"),
+    *FIXED_TYPE_KEYS,
 )
 
 
@@ -38,6 +40,10 @@ def default_type_keys(spark: SparkSession) -> DataFrame:
     return _literal_table(spark, "encounter_type_keys", TYPE_KEYS)
 
 
+def fixed_type_keys(spark: SparkSession) -> DataFrame:
+    return _literal_table(spark, "encounter_type_keys", FIXED_TYPE_KEYS)
+
+
 def read_keys(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Read a key value set (CSV with header, may be gzipped) from shared storage."""
     return spark.read.csv(path, schema=schema(name), header=True, enforceSchema=False)

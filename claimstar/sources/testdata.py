@@ -8,13 +8,13 @@ the row, which makes swapped or lost columns visible in results.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimstar.sources import seeds
 from claimstar.sources.contracts import CONTRACTS, COST_MEASURES
 from claimstar.sources.mapping import raw_columns
 
@@ -130,6 +130,16 @@ _CATEGORY_1 = (
     " when l_returnflag = 'N' then 'outpatient' else 'office-based' end"
 )
 _CATEGORY_3 = "case when p_size % 10 = 0 then null else p_brand end"
+_GROUP = (
+    "case o_orderpriority when '1-URGENT' then 'outpatient'"
+    " when '2-HIGH' then 'inpatient' when '3-MEDIUM' then 'office based'"
+    " when '4-NOT SPECIFIED' then 'inpatient' else 'outpatient' end"
+)
+_TYPE = (
+    "case o_orderpriority when '1-URGENT' then 'emergency department'"
+    " when '2-HIGH' then 'acute inpatient' when '3-MEDIUM' then 'office visit'"
+    " when '4-NOT SPECIFIED' then 'inpatient long term acute care'"
+)
 _ADMITTED = "o_orderpriority in ('2-HIGH', '4-NOT SPECIFIED')"
 _NDC = "lpad(cast({} as string), 11, '0')"
 _DRUG = "'RX' || cast(p_partkey % 500 as string)"
@@ -188,17 +198,10 @@ _BOUND: dict[str, Binding] = {
             "data_source": _ORDER_SOURCE,
             "person_id": _PERSON,
             "encounter_type": (
-                "case o_orderpriority when '1-URGENT' then 'emergency department'"
-                " when '2-HIGH' then 'acute inpatient' when '3-MEDIUM' then 'office visit'"
-                " when '4-NOT SPECIFIED' then 'inpatient long term acute care'"
-                " else case when o_orderkey % 7 = 0 then 'unmapped type'"
+                f"{_TYPE} else case when o_orderkey % 7 = 0 then 'unmapped type'"
                 " when o_orderkey % 11 = 0 then null else 'urgent care' end end"
             ),
-            "encounter_group": (
-                "case o_orderpriority when '1-URGENT' then 'outpatient'"
-                " when '2-HIGH' then 'inpatient' when '3-MEDIUM' then 'office based'"
-                " when '4-NOT SPECIFIED' then 'inpatient' else 'outpatient' end"
-            ),
+            "encounter_group": _GROUP,
             "encounter_source_type": (
                 "case when o_orderstatus = 'P' and o_custkey % 2 = 0"
                 " then 'clinical' else 'claim' end"
@@ -481,6 +484,36 @@ _BOUND: dict[str, Binding] = {
         },
         where="k % 4 <> 0",
     ),
+    "encounter_group_keys": Binding(
+        ORDERS,
+        "o_orderkey",
+        _ORDER_DAY,
+        {
+            "encounter_group": _GROUP,
+            "encounter_group_sk": (
+                "case when o_orderpriority in ('2-HIGH', '4-NOT SPECIFIED') then '1'"
+                " when o_orderpriority = '3-MEDIUM' then '3' else '2' end"
+            ),
+        },
+        distinct=True,
+    ),
+    "encounter_type_keys": Binding(
+        ORDERS,
+        "o_orderkey",
+        _ORDER_DAY,
+        {
+            "encounter_type": f"{_TYPE} else 'urgent care' end",
+            "encounter_type_sk": (
+                "case o_orderpriority when '1-URGENT' then '2' when '2-HIGH' then '1'"
+                " when '3-MEDIUM' then '3' when '4-NOT SPECIFIED' then '32' else '4' end"
+            ),
+            "encounter_group_sk": (
+                "case when o_orderpriority in ('2-HIGH', '4-NOT SPECIFIED') then '1'"
+                " when o_orderpriority = '3-MEDIUM' then '3' else '2' end"
+            ),
+        },
+        distinct=True,
+    ),
     "drug_packages": Binding(
         PARTS,
         "p_partkey",
@@ -624,16 +657,27 @@ def _bind(binding: Binding, read: Read) -> DataFrame:
 
 
 def reader(spark: SparkSession, sf_dir: str) -> Read:
-    return lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """Read driver tables, each file listing and footer once."""
+    return cache(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+
+
+class BoundInputs(Mapping):
+    """All input relations over the driver tables of ``sf_dir``, each composed when asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._read = reader(spark, sf_dir)
+        self._bound: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._bound:
+            self._bound[name] = _bind(BINDINGS[name], self._read)
+        return self._bound[name]
 
+    def __iter__(self) -> Iterator[str]:
+        return iter(BINDINGS)
 
-def bind_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All input relations over the driver tables of ``sf_dir``."""
-    read = reader(spark, sf_dir)
-    inputs = {name: _bind(binding, read) for name, binding in BINDINGS.items()}
-    inputs["encounter_group_keys"] = seeds.default_group_keys(spark)
-    inputs["encounter_type_keys"] = seeds.default_type_keys(spark)
-    return inputs
+    def __len__(self) -> int:
+        return len(BINDINGS)
 
 
 def bind_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
