@@ -10,6 +10,12 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Where every partition of the narrow side turns out at most this large, the wide side of a
+    # shuffled join is streamed past a hash table instead of being sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # HotSpot leaves methods above 8000 bytes of bytecode interpreted, which the fused
+    # projections of the wide tables exceed; those fall back to split projections instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",

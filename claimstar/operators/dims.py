@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimstar.functions.columns import run_stamp, surrogate_key, text_key
-from claimstar.functions.joins import broadcast_if_small
+from claimstar.functions.joins import broadcast_if_small, skew_splittable_join
 from claimstar.sources.contracts import ATTRIBUTION, CONTRACTS, STAMP
 
 SOURCE = "data_source"
@@ -118,7 +118,7 @@ def encounter_provider(
         )
     )
     specialties = broadcast_if_small(practitioner_by_npi(practitioner), practitioner)
-    return winners.join(specialties, ["npi", SOURCE], "left").select(
+    return skew_splittable_join(winners, specialties, ["npi", SOURCE], "left").select(
         "encounter_id", SOURCE, F.col("npi").alias("primary_provider_id"), "specialty", STAMP
     )
 

@@ -57,10 +57,13 @@ class Star:
         self.run_ts = run_ts or now_utc()
         self.specialty_threshold = specialty_threshold
         self.stored = dict(stored or {})
+        self._staged: dict[str, DataFrame] = {}
 
     def input(self, name: str) -> DataFrame:
         """Staged input relation."""
-        return stage(name, self.inputs[name], self.run_ts)
+        if name not in self._staged:
+            self._staged[name] = stage(name, self.inputs[name], self.run_ts)
+        return self._staged[name]
 
     def table(self, name: str) -> DataFrame:
         """Published or intermediate table."""

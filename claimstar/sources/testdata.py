@@ -588,8 +588,10 @@ _RAW_SPECIAL = {
 }
 
 
-def filler(column: str, kind: str, key: str, day: str) -> str:
-    """A value that depends on the column and on a key of the row."""
+def filler(column: str, kind: str, rows: Rows, key: str, day: str) -> str:
+    """A value that depends on the column and, texts of claim lines apart, on a key of the row."""
+    if kind == "text" and rows is LINES:
+        return f"'{column}'"
     spread = 5 + len(column) % 9
     if kind == "int":
         return f"cast({key} % {spread} as int)"
@@ -599,7 +601,10 @@ def filler(column: str, kind: str, key: str, day: str) -> str:
         return f"{day} + cast({key} % {spread} as int)"
     if kind == "time":
         return f"cast({day} as timestamp)"
-    return f"'{column} ' || cast({key} % {spread} as string)"
+    return (
+        f"case {key} % {spread} when 0 then null when 1 then '{column} one'"
+        f" when 2 then '{column} two' else '{column}' end"
+    )
 
 
 def _raw_kind(column: str) -> str:
@@ -616,7 +621,7 @@ def _with_fillers(name: str, binding: Binding) -> Binding:
     columns = dict(binding.columns)
     for column, kind in CONTRACTS[name].items():
         if column not in binding.expressions:
-            columns[column] = filler(column, kind, binding.key, binding.day)
+            columns[column] = filler(column, kind, binding.rows, binding.key, binding.day)
     return Binding(
         binding.rows,
         binding.key,
@@ -635,7 +640,9 @@ def _raw_binding(name: str) -> Binding:
     for column in raw_columns(name):
         special = _RAW_SPECIAL.get(column)
         columns[column] = (
-            special.format(key=key) if special else filler(column, _raw_kind(column), key, day)
+            special.format(key=key)
+            if special
+            else filler(column, _raw_kind(column), rows, key, day)
         )
     return Binding(rows, key, day, columns)
 
@@ -648,11 +655,11 @@ def _bind(binding: Binding, read: Read) -> DataFrame:
     frame = binding.rows.spark(read)
     if binding.where:
         frame = frame.filter(binding.where)
-    columns = [F.expr(text).alias(name) for name, text in binding.columns.items()]
     if binding.aggregates:
+        keys = [F.expr(text).alias(name) for name, text in binding.columns.items()]
         totals = [F.expr(text).alias(name) for name, text in binding.aggregates.items()]
-        return frame.groupBy(*columns).agg(*totals)
-    frame = frame.select(*columns)
+        return frame.groupBy(*keys).agg(*totals)
+    frame = frame.selectExpr(*[f"{text} as `{name}`" for name, text in binding.columns.items()])
     return frame.distinct() if binding.distinct else frame
 
 

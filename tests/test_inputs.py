@@ -1,0 +1,151 @@
+"""Contracts, staging, key value sets and the input mappings."""
+
+import gzip
+
+import pytest
+from conftest import RUN_TS, rows
+from pyspark.sql import functions as F
+
+from claimstar.sources import seeds
+from claimstar.sources.contracts import CONTRACTS, ContractError, conform, schema
+from claimstar.sources.inputs import load_inputs, parquet_reader, stage, table_reader
+from claimstar.sources.mapping import MAPPINGS, enabled_mappings, map_input, raw_columns
+
+
+def test_contract_reports_all_problems(spark):
+    frame = spark.createDataFrame([("n", 1)], "npi string, specialty int")
+    with pytest.raises(ContractError) as error:
+        conform("practitioner", frame)
+    text = str(error.value)
+    assert "specialty is int" in text
+    assert "practitioner_id is missing" in text and "data_source is missing" in text
+
+
+def test_contract_accepts_any_numeric_and_drops_other_columns(spark):
+    columns = schema("pharmacy_claim").fieldNames()
+    frame = spark.createDataFrame([], schema("pharmacy_claim")).withColumns(
+        {"quantity": F.lit(1.5), "paid_amount": F.lit(2), "unknown": F.lit("x")}
+    )
+    assert conform("pharmacy_claim", frame).columns == columns
+
+
+def test_stage_rules(spark, given):
+    assert given("eligibility", {"data_source": "a"}, {"data_source": "a"}).count() == 1
+    encounters = given(
+        "encounter",
+        {"encounter_id": "1", "encounter_source_type": "claim"},
+        {"encounter_id": "2", "encounter_source_type": "clinical"},
+        {"encounter_id": "3", "encounter_source_type": None},
+    )
+    assert rows(encounters, "encounter_id") == [("1",)]
+    assert encounters.first()["last_run_ts"].isoformat() == "2025-01-01T00:00:00"
+    claims = given("medical_claim", {"last_run_ts": "2020-05-05 00:00:00"})
+    assert claims.first()["last_run_ts"].year == 2020
+    wide = spark.createDataFrame([("e", "a", 7)], "encounter_id string, data_source string, x int")
+    assert stage("augmented_admissions", wide, RUN_TS).columns == wide.columns
+
+
+def test_load_from_parquet_with_renames_and_default_keys(spark, tmp_path):
+    upstream = {
+        "default_attributed_provider": "house_attributed_provider",
+        "last_run_ts": "house_last_run",
+    }
+    frame = spark.createDataFrame([], schema("member_month")).withColumnsRenamed(upstream)
+    frame.write.parquet(f"{tmp_path}/member_month")
+    read = parquet_reader(spark, str(tmp_path), {"encounter_type_keys": None})
+    names = ["member_month", "encounter_type_keys"]
+    with pytest.raises(ContractError):
+        load_inputs(spark, read, names)
+    loaded = load_inputs(spark, read, names, {v: k for k, v in upstream.items()})
+    assert loaded["member_month"].columns == list(CONTRACTS["member_month"])
+    assert loaded["encounter_type_keys"].count() == len(seeds.TYPE_KEYS)
+
+
+def test_load_from_catalog(spark):
+    spark.sql("create database if not exists core_tables")
+    frame = spark.createDataFrame([("n", "s", "i", "a")], schema("practitioner"))
+    frame.write.mode("overwrite").saveAsTable("core_tables.practitioner")
+    loaded = load_inputs(spark, table_reader(spark, "core_tables"), ["practitioner"])
+    assert rows(loaded["practitioner"], "npi", "data_source") == [("n", "a")]
+
+
+def test_read_keys_from_gzipped_csv(spark, tmp_path):
+    path = tmp_path / "keys.csv.gz"
+    with gzip.open(path, "wt") as out:
+        out.write("encounter_group,encounter_group_sk\nouter space,007\n")
+    frame = seeds.read_keys(spark, "encounter_group_keys", str(path))
+    assert rows(frame, "encounter_group", "encounter_group_sk") == [("outer space", "007")]
+
+
+def test_header_only_keys_are_an_empty_table(spark, tmp_path):
+    path = tmp_path / "keys.csv"
+    path.write_text("encounter_group,encounter_group_sk\n")
+    assert seeds.read_keys(spark, "encounter_group_keys", str(path)).count() == 0
+
+
+def raw(spark, table, /, **values):
+    columns = raw_columns(table)
+    assert set(values) <= set(columns)
+    return spark.createDataFrame(
+        [tuple(values.get(c) for c in columns)], ", ".join(f"`{c}` string" for c in columns)
+    )
+
+
+@pytest.mark.parametrize("name", sorted(MAPPINGS))
+def test_mapping_projects_every_column(spark, name):
+    mapping = MAPPINGS[name]
+    source = raw(spark, name, **{c: f"value of {c}" for c in raw_columns(name)})
+    mapped = map_input(name, source)
+    assert mapped.columns == [*mapping.columns, *mapping.extensions, *mapping.metadata]
+    row = mapped.first()
+    special = {*mapping.renamed, *mapping.first_of, *mapping.absent}
+    for column in (*mapping.columns, *mapping.metadata):
+        if column not in special:
+            assert row[column] == f"value of {column}"
+
+
+def test_appointment_falls_back_to_codes_and_has_no_ingest_time(spark):
+    source = raw(
+        spark, "appointment", type_code="t", status_code="s", status_description="described"
+    )
+    mapped = map_input("appointment", source)
+    assert rows(mapped, "type", "status", "ingest_datetime") == [("t", "described", None)]
+    assert dict(mapped.dtypes)["ingest_datetime"] == "timestamp"
+
+
+def test_lab_result_renames_flags_to_codes(spark):
+    source = raw(
+        spark, "lab_result", source_abnormal_flag="H", normalized_abnormal_flag="high"
+    )
+    mapped = map_input("lab_result", source)
+    assert rows(mapped, "source_abnormal_code", "normalized_abnormal_code") == [("H", "high")]
+
+
+def test_extension_columns(spark):
+    source = raw(spark, "eligibility", person_id="7", first_name="Ann")
+    mapped = map_input("eligibility", source)
+    columns = ("x_temp_record_origin", "x_temp_person_id", "x_temp_first_name")
+    assert rows(mapped, *columns) == [("claims_7", "7", "Ann")]
+    own = map_input("eligibility", source, {"x_upper": F.upper("first_name")})
+    assert rows(own, "x_upper") == [("ANN",)] and "x_temp_person_id" not in own.columns
+    with pytest.raises(ValueError):
+        map_input("eligibility", source, {"upper": F.upper("first_name")})
+
+
+def test_wide_claim_groups(spark):
+    columns = map_input("medical_claim", raw(spark, "medical_claim")).columns
+    for stem in ("diagnosis_code", "diagnosis_poa", "procedure_code", "procedure_date"):
+        assert [c for c in columns if c.startswith(f"{stem}_") and c[-1].isdigit()] == [
+            f"{stem}_{i}" for i in range(1, 26)
+        ]
+
+
+def test_enabled_mappings():
+    claims = {"eligibility", "medical_claim", "pharmacy_claim"}
+    assert set(enabled_mappings(claims=True)) == claims
+    assert set(enabled_mappings(provider_attribution=True)) == set()
+    assert set(enabled_mappings(claims=True, provider_attribution=True)) == {
+        *claims,
+        "provider_attribution",
+    }
+    assert len(enabled_mappings(True, True, True)) == len(MAPPINGS) == 15
