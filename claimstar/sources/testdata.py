@@ -663,8 +663,9 @@ def _bind(binding: Binding, read: Read) -> DataFrame:
     return frame.distinct() if binding.distinct else frame
 
 
+@cache
 def reader(spark: SparkSession, sf_dir: str) -> Read:
-    """Read driver tables, each file listing and footer once."""
+    """Read driver tables, each file listing and footer once per session."""
     return cache(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
