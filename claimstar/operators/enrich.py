@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimstar.functions.columns import lower_text, month_of, ratio
-from claimstar.functions.joins import broadcast_if_small, left_join_null_safe
+from claimstar.functions.joins import (
+    broadcast_if_small,
+    left_join_null_safe,
+    skew_splittable_join,
+)
 
 RISK_COLUMNS = (
     "risk_model_code",
@@ -77,7 +81,7 @@ def monthly_risk(risk_scores_monthly: DataFrame) -> DataFrame:
         ratio(F.sum("normalized_risk_score"), F.count("normalized_risk_score")).alias("mean_score")
     )
     return (
-        scores.join(means, ["year_month", "data_source"], "left")
+        skew_splittable_join(scores, means, ["year_month", "data_source"], "left")
         .withColumn(
             "population_normalized_risk_score",
             ratio(F.col("normalized_risk_score"), F.col("mean_score")),

@@ -238,9 +238,11 @@ def member_months(
     ``member_month_id`` is unique, so risk is attached to the row itself rather than joined back
     by that id. The months of a year are counted by an aggregate over the narrow member months
     and joined: a placeholder member that holds very many rows is combined map-side and then
-    split by adaptive execution, while a window would sort it in one task. The 70 cost columns
-    come last, so no later exchange moves them. A null payer or plan matches a null one; a null
-    member id never matches cost.
+    split by adaptive execution, while a window would sort it in one task. Counting before the
+    other joins gives the months of the result as long as those do not repeat a month, which is
+    what the uniqueness rule on ``member_month_id`` checks. The 70 cost columns come last, so no
+    later exchange moves them. A null payer or plan matches a null one; a null member id never
+    matches cost.
     """
     year = ["person_id", "member_id", "payer", "plan", "data_source", "year_nbr"]
     coverage = member_month.groupBy(*year).agg(F.count(F.lit(1)).alias("total_year_months"))
