@@ -1,4 +1,8 @@
-"""Join helpers: checked broadcasts, null-safe keys and skew-splittable joins."""
+"""Join helpers: null-safe keys and skew-splittable joins.
+
+No join is hinted as broadcast. Spark broadcasts a side whose estimated or, in adaptive execution,
+measured size is within ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise.
+"""
 
 from __future__ import annotations
 
@@ -7,35 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest planner estimate for which a side is hinted as broadcast. Parquet may decode to
-# several times its file size, so this stays far below the 8 GiB broadcast ceiling.
-BROADCAST_LIMIT = 32 * 1024 * 1024
-
-
-def estimated_bytes(frame: DataFrame) -> int | None:
-    """The planner's size estimate; runs no job. None where no estimate can be had."""
-    jdf = getattr(frame, "_jdf", None)
-    if jdf is None:
-        return None
-    return int(str(jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_if_small(
-    frame: DataFrame, *measured: DataFrame, limit: int = BROADCAST_LIMIT
-) -> DataFrame:
-    """Hint a broadcast of ``frame`` only when its size is known to be within ``limit``.
-
-    ``measured`` are the inputs that bound the size of ``frame`` when the planner would
-    overestimate it (a left join on unique keys is bounded by the sum of its inputs, but is
-    estimated as their product). Beyond the limit the frame is returned as it is: the join is
-    then a shuffled join, which adaptive execution may still convert or split.
-    """
-    sizes = [estimated_bytes(f) for f in (measured or (frame,))]
-    if any(size is None for size in sizes) or sum(sizes) > limit:
-        return frame
-    return F.broadcast(frame)
-
-
 def left_join_null_safe(
     left: DataFrame, right: DataFrame, plain: Sequence[str], null_safe: Sequence[str]
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimstar.functions.columns import run_stamp, surrogate_key, text_key
-from claimstar.functions.joins import broadcast_if_small, skew_splittable_join
+from claimstar.functions.joins import skew_splittable_join
 from claimstar.sources.contracts import ATTRIBUTION, CONTRACTS, STAMP
 
 SOURCE = "data_source"
@@ -80,7 +80,7 @@ def known_sources(frame: DataFrame, dim_data_source: DataFrame | None) -> DataFr
     """
     if dim_data_source is None:
         return frame.filter(F.col(SOURCE).isNotNull())
-    return frame.join(broadcast_if_small(dim_data_source.select(SOURCE)), SOURCE, "left_semi")
+    return frame.join(dim_data_source.select(SOURCE), SOURCE, "left_semi")
 
 
 def encounter_provider(
@@ -117,7 +117,7 @@ def encounter_provider(
             F.col(f"top.{STAMP}").alias(STAMP),
         )
     )
-    specialties = broadcast_if_small(practitioner_by_npi(practitioner), practitioner)
+    specialties = practitioner_by_npi(practitioner)
     return skew_splittable_join(winners, specialties, ["npi", SOURCE], "left").select(
         "encounter_id", SOURCE, F.col("npi").alias("primary_provider_id"), "specialty", STAMP
     )

@@ -6,11 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimstar.functions.columns import lower_text, month_of, ratio
-from claimstar.functions.joins import (
-    broadcast_if_small,
-    left_join_null_safe,
-    skew_splittable_join,
-)
+from claimstar.functions.joins import left_join_null_safe, skew_splittable_join
 
 RISK_COLUMNS = (
     "risk_model_code",
@@ -28,13 +24,11 @@ def encounter_enrichment(
     code = F.when(
         lower_text("primary_diagnosis_code_type") == "icd-10-cm", F.col("primary_diagnosis_code")
     )
-    categories = broadcast_if_small(
-        diagnosis_categories.filter(F.col("ccsr_category_rank") == 1).select(
-            F.col("code").alias("icd_10_code"),
-            "ccsr_parent_category",
-            "ccsr_category",
-            "ccsr_category_description",
-        )
+    categories = diagnosis_categories.filter(F.col("ccsr_category_rank") == 1).select(
+        F.col("code").alias("icd_10_code"),
+        "ccsr_parent_category",
+        "ccsr_category",
+        "ccsr_category_description",
     )
     providers = dim_encounter_provider.select(
         "encounter_id", "data_source", "primary_provider_id", "specialty"

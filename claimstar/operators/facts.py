@@ -15,11 +15,7 @@ from claimstar.functions.columns import (
     safe_int,
     text_key,
 )
-from claimstar.functions.joins import (
-    broadcast_if_small,
-    left_join_null_safe,
-    skew_splittable_join,
-)
+from claimstar.functions.joins import left_join_null_safe, skew_splittable_join
 from claimstar.operators.dims import CATEGORY_LEVELS, known_sources
 from claimstar.operators.enrich import RISK_COLUMNS, with_risk
 from claimstar.sources.contracts import CONTRACTS, COST_MEASURES, STAMP
@@ -50,8 +46,8 @@ def encounters(
 
     The group comes from the group label alone; the parent group of the type is not compared.
     """
-    groups = broadcast_if_small(dim_encounter_group.select("encounter_group", "encounter_group_sk"))
-    kinds = broadcast_if_small(dim_encounter_type.select("encounter_type", "encounter_type_sk"))
+    groups = dim_encounter_group.select("encounter_group", "encounter_group_sk")
+    kinds = dim_encounter_type.select("encounter_type", "encounter_type_sk")
     month = month_of("encounter_start_date")
     return (
         encounter.join(groups, "encounter_group")
@@ -86,9 +82,7 @@ def categorized_claims(
 ) -> DataFrame:
     """Enrolled claim lines of known sources, all of whose category levels are mapped."""
     enrolled = medical_claim.filter(F.col("enrollment_flag") == 1)
-    categories = broadcast_if_small(
-        dim_service_category.select("service_category_sk", *CATEGORY_LEVELS)
-    )
+    categories = dim_service_category.select("service_category_sk", *CATEGORY_LEVELS)
     return known_sources(enrolled, dim_data_source).join(categories, list(CATEGORY_LEVELS))
 
 
@@ -278,26 +272,34 @@ def member_months(
     )
 
 
-def drug_terminology(
-    drug_packages: DataFrame, drugs: DataFrame, drug_classes: DataFrame
+def with_drugs(
+    pharmacy_claim: DataFrame,
+    drug_packages: DataFrame,
+    drugs: DataFrame,
+    drug_classes: DataFrame,
 ) -> DataFrame:
-    """One row per package: drug table values win over those of the package."""
-    normalized = drugs.select(
-        "drug_id", F.col("drug_name").alias("drug_table_name"), F.col("is_brand").alias("drug_flag")
+    """Pharmacy lines with package, drug and class columns; the drug table wins over the package.
+
+    The tables are joined to the lines one by one. Each then is a plain scan of known size when
+    Spark decides whether to broadcast it; joined to each other first, they would be estimated
+    as their product.
+    """
+    packages = drug_packages.select(
+        F.col("ndc11").alias("ndc_code"),
+        "drug_id",
+        F.col("drug_name").alias("ndc_description"),
+        F.col("is_brand").alias("package_flag"),
     )
+    normalized = drugs.select("drug_id", "drug_name", F.col("is_brand").alias("drug_flag"))
     return (
-        drug_packages.join(normalized, "drug_id", "left")
+        pharmacy_claim.join(packages, "ndc_code", "left")
+        .join(normalized, "drug_id", "left")
         .join(drug_classes, "drug_id", "left")
-        .select(
-            F.col("ndc11").alias("ndc_code"),
-            "drug_id",
-            F.col("drug_name").alias("ndc_description"),
-            F.coalesce("drug_table_name", "drug_name").alias("drug_name"),
-            F.coalesce("drug_flag", "is_brand").alias("is_brand"),
-            "atc_1_name",
-            "atc_2_name",
-            "atc_3_name",
-            "atc_4_name",
+        .withColumns(
+            {
+                "drug_name": F.coalesce("drug_name", "ndc_description"),
+                "is_brand": F.coalesce("drug_flag", "package_flag"),
+            }
         )
     )
 
@@ -311,22 +313,17 @@ def pharmacy_claims(
     specialty_threshold: float = DEFAULT_SPECIALTY_THRESHOLD,
 ) -> DataFrame:
     """Pharmacy lines with prescriber specialty, drug terminology and 30-day cost."""
-    terminology = broadcast_if_small(
-        drug_terminology(drug_packages, drugs, drug_classes), drug_packages, drugs, drug_classes
-    )
-    prescribers = broadcast_if_small(
-        practitioner.select(
-            "data_source",
-            F.col("practitioner_id").alias("prescribing_provider_id"),
-            F.col("specialty").alias("prescribing_specialty"),
-        )
+    prescribers = practitioner.select(
+        "data_source",
+        F.col("practitioner_id").alias("prescribing_provider_id"),
+        F.col("specialty").alias("prescribing_specialty"),
     )
     per_day = ratio(F.col("paid_amount"), F.col("days_supply"))
     thirty_days = per_day * 30
     branded = lower_text("is_brand").isin(*TRUE_TEXTS)
     generic = lower_text("is_brand").isin(*FALSE_TEXTS)
     return (
-        pharmacy_claim.join(terminology, "ndc_code", "left")
+        with_drugs(pharmacy_claim, drug_packages, drugs, drug_classes)
         .join(prescribers, ["data_source", "prescribing_provider_id"], "left")
         .select(
             "pharmacy_claim_id",

@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimstar.functions.joins import broadcast_if_small
 from claimstar.operators.dims import CATEGORY_LEVELS, known_sources
 from claimstar.operators.facts import ENCOUNTER_KEY
 
@@ -234,7 +233,7 @@ def uncovered_service_categories(
     shuffled for the test of being publishable.
     """
     levels = list(CATEGORY_LEVELS)
-    mapped = broadcast_if_small(dim_service_category.select(*levels))
+    mapped = dim_service_category.select(*levels)
     complete = medical_claim.filter(F.col("enrollment_flag") == 1).dropna(subset=levels)
     unmapped = (
         known_sources(complete, dim_data_source)

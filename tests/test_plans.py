@@ -4,12 +4,7 @@ import pytest
 from conftest import RUN_TS, SF_DIR
 
 import __spark_entry__ as registry
-from claimstar.functions.joins import (
-    broadcast_if_small,
-    estimated_bytes,
-    left_join_null_safe,
-    skew_splittable_join,
-)
+from claimstar.functions.joins import left_join_null_safe, skew_splittable_join
 from claimstar.operators import dims, facts
 from claimstar.plans.star import INTERMEDIATES, TABLES, Star
 from claimstar.sources.contracts import schema
@@ -84,14 +79,18 @@ def test_provider_scan_reads_five_columns(spark, stored_inputs):
     assert "claim_id" not in read and "payer" not in read
 
 
-def test_broadcast_only_within_the_limit(spark, stored_inputs):
-    frame = stored_inputs["practitioner"]
-    size = estimated_bytes(frame)
-    assert size > 0
-    hinted = lambda f: "ResolvedHint" in f._jdf.queryExecution().analyzed().toString()
-    assert hinted(broadcast_if_small(frame, limit=size))
-    assert not hinted(broadcast_if_small(frame, limit=size - 1))
-    assert not hinted(broadcast_if_small(frame, frame, frame, limit=2 * size - 1))
+@pytest.mark.parametrize("name", [*TABLES, *INTERMEDIATES])
+def test_no_broadcast_is_forced(spark, settings, name):
+    """Every broadcast is Spark's own decision by size; without it all joins are shuffled."""
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    plan = physical(Star(BoundInputs(spark, SF_DIR), RUN_TS).table(name))
+    assert "Broadcast" not in plan
+
+
+def test_dimension_joins_of_claims_are_broadcast_by_size(spark):
+    plan = physical(registry.star(spark, SF_DIR).table("fact_claims"))
+    assert "BroadcastHashJoin [service_category_1" in plan
+    assert "BroadcastHashJoin [icd_10_code" in plan
 
 
 def test_unused_provider_lookup_is_dropped(spark):
@@ -139,7 +138,7 @@ def test_hot_encounter_is_split_next_to_an_aggregate(spark, settings):
 
 def test_fact_claims_splits_a_hot_encounter(spark, settings, stored_inputs):
     """A third of all claim lines on one encounter of the real composition."""
-    settings(SKEWED)
+    settings(SKEWED | {"spark.sql.autoBroadcastJoinThreshold": "10MB"})
     star = registry.star(spark, SF_DIR)
     enrichment = star.table("encounter_enrichment")
     hot = enrichment.filter("data_source = 'src_a'").agg({"encounter_id": "min"}).first()[0]
