@@ -91,11 +91,7 @@ class Star:
         return dims.encounter_type(self.input("encounter_type_keys"), self.run_ts)
 
     def _dim_encounter_provider(self) -> DataFrame:
-        return dims.encounter_provider(
-            self.input("medical_claim"),
-            self.input("practitioner"),
-            self.stored.get("dim_data_source"),
-        )
+        return dims.encounter_provider(self.input("medical_claim"), self.input("practitioner"))
 
     def _dim_member(self) -> DataFrame:
         return dims.member(self.input("patient"))
@@ -130,7 +126,6 @@ class Star:
             self.input("medical_claim"),
             self.table("dim_service_category"),
             self.table("encounter_enrichment"),
-            self.stored.get("dim_data_source"),
         )
 
     def _fact_encounter_service_bridge(self) -> DataFrame:
@@ -141,7 +136,6 @@ class Star:
                 self.input("medical_claim"),
                 self.table("dim_service_category"),
                 self.table("fact_encounters"),
-                self.stored.get("dim_data_source"),
             )
         return facts.encounter_service_bridge(links, self.run_ts)
 

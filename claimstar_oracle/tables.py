@@ -14,7 +14,7 @@ from claimstar.sources.contracts import ATTRIBUTION, CONTRACTS, COST_MEASURES
 from claimstar.sources.inputs import PASSES_STAMP, UNSTAMPED
 from claimstar.sources.mapping import MAPPINGS, raw_columns
 from claimstar.sources.testdata import BINDINGS, RAW_BINDINGS, bind_sql
-from oracle.published import PUBLISHED, kind
+from claimstar_oracle.published import PUBLISHED, kind
 
 RUN_TS = "2025-01-01 00:00:00"
 _STAMP = f"cast('{RUN_TS}' as timestamp)"

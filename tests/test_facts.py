@@ -59,9 +59,9 @@ def test_encounters_need_mapped_labels_and_claims(given):
 def test_diagnosis_category_only_for_icd_10(given, spark):
     encounters = spark.createDataFrame(
         [
-            ("icd10", "g", "t", "ICD-10-CM", "A001", None, "a"),
-            ("icd9", "g", "t", "icd-9-cm", "A001", None, "b"),
-            ("untyped", "g", "t", None, "A001", None, "b"),
+            ("icd10", "g", "t", "ICD-10-CM", "K358", None, "a"),
+            ("icd9", "g", "t", "icd-9-cm", "K358", None, "b"),
+            ("untyped", "g", "t", None, "K358", None, "b"),
             ("uncoded", "g", "t", "icd-10-cm", None, None, "b"),
         ],
         "encounter_id string, encounter_group_sk string, encounter_type_sk string,"
@@ -74,12 +74,12 @@ def test_diagnosis_category_only_for_icd_10(given, spark):
     )
     categories = given(
         "diagnosis_categories",
-        {"code": "A001", "ccsr_category": "INF001", "ccsr_category_rank": 1},
-        {"code": "A001", "ccsr_category": "INF002", "ccsr_category_rank": 2},
+        {"code": "K358", "ccsr_category": "DIG008", "ccsr_category_rank": 1},
+        {"code": "K358", "ccsr_category": "DIG009", "ccsr_category_rank": 2},
     )
     frame = enrich.encounter_enrichment(encounters, providers, categories)
     assert rows(frame, "encounter_id", "primary_provider_id", "ccsr_category") == [
-        ("icd10", "n1", "INF001"),
+        ("icd10", "n1", "DIG008"),
         ("icd9", "n2", None),
         ("uncoded", None, None),
         ("untyped", None, None),

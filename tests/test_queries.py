@@ -5,7 +5,7 @@ from compare import connect, difference
 from conftest import SF_DIR
 
 import __spark_entry__ as registry
-from oracle.published import PUBLISHED
+from claimstar_oracle.published import PUBLISHED
 
 QUERIES = registry.queries()
 SQL = registry.oracle_sql()
