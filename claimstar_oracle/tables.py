@@ -338,12 +338,12 @@ def _with(needs: Iterable[str], body: str) -> str:
 
 
 def portable(columns: Iterable[str], body: str) -> str:
-    """Dates and timestamps as text, decimals as double rounded to six places."""
+    """Dates and timestamps as text, numbers of the inputs as double rounded to six places."""
     items = []
     for column in columns:
         if kind(column) in ("date", "time"):
             items.append(f'cast("{column}" as varchar) as "{column}"')
-        elif kind(column) == "number":
+        elif kind(column) in ("int", "number"):
             items.append(f'round(cast("{column}" as double), 6) as "{column}"')
         else:
             items.append(f'"{column}"')
@@ -414,6 +414,10 @@ def rules_sql(rules: Iterable[Rule]) -> str:
     return _with(dict.fromkeys(needs), " union all ".join(_rule_sql(r) for r in rules))
 
 
+# Whole numbers among the mapped columns.
+_WHOLE = ("claim_line_number", "days_supply")
+
+
 def mapping_sql(name: str) -> str:
     """The mapped extract, dates and timestamps as text and amounts as double."""
     mapping = MAPPINGS[name]
@@ -448,7 +452,7 @@ def mapping_sql(name: str) -> str:
         text = special.get(column) or extension.get(column) or f'"{column}"'
         if column.endswith(("_date", "_datetime")) or "procedure_date" in column:
             text = f"cast({text} as varchar)"
-        elif column.endswith(("_amount", "quantity")):
+        elif column.endswith(("_amount", "quantity")) or column in _WHOLE:
             text = f"cast({text} as double)"
         items.append(f'{text} as "{column}"')
     return f"select {', '.join(items)} from ({bind_sql(raw)}) raw"
