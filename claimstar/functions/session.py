@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where several joins on the same keys follow each other and the split
+    # costs one of them another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Where every partition of the narrow side turns out at most this large, the wide side of a
     # shuffled join is streamed past a hash table instead of being sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",

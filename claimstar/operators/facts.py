@@ -288,9 +288,11 @@ def with_drugs(
         F.col("ndc11").alias("ndc_code"),
         "drug_id",
         F.col("drug_name").alias("ndc_description"),
-        F.col("is_brand").alias("package_flag"),
+        F.col("is_brand").cast("string").alias("package_flag"),
+    )
+    normalized = drugs.select(
+        "drug_id", "drug_name", F.col("is_brand").cast("string").alias("drug_flag")
     )
-    normalized = drugs.select("drug_id", "drug_name", F.col("is_brand").alias("drug_flag"))
     return (
         pharmacy_claim.join(packages, "ndc_code", "left")
         .join(normalized, "drug_id", "left")

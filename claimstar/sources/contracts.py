@@ -71,7 +71,8 @@ ATTRIBUTION = (
 )
 
 # Column name, then its kind unless it is text.
-# Kinds: text, int (whole numbers and 0/1 flags), number, date, time.
+# Kinds: text, int (whole numbers and 0/1 flags), number, date, time, loose (a flag or an order
+# that arrives as text, boolean or whole number).
 _COLUMNS = {
     "eligibility": "data_source",
     "patient": """
@@ -171,7 +172,7 @@ _COLUMNS = {
     "pqi_summary": "pqi_number, pqi_name, encounter_id, data_source",
     "ed_classification": """
         encounter_id, person_id, data_source,
-        ed_classification_order, ed_classification_description
+        ed_classification_order loose, ed_classification_description
     """,
     "calendar": """
         full_date date, year int, month int, day int, month_name, day_of_week_number int,
@@ -183,8 +184,8 @@ _COLUMNS = {
         code, ccsr_parent_category, ccsr_category, ccsr_category_description,
         ccsr_category_rank int
     """,
-    "drug_packages": "ndc11, drug_id, drug_name, is_brand",
-    "drugs": "drug_id, drug_name, is_brand",
+    "drug_packages": "ndc11, drug_id, drug_name, is_brand loose",
+    "drugs": "drug_id, drug_name, is_brand loose",
     "drug_classes": "drug_id, atc_1_name, atc_2_name, atc_3_name, atc_4_name",
     "encounter_group_keys": "encounter_group, encounter_group_sk",
     "encounter_type_keys": "encounter_type, encounter_type_sk, encounter_group_sk",
@@ -199,6 +200,7 @@ _TYPES = {
     "number": T.DecimalType(28, 6),
     "date": T.DateType(),
     "time": T.TimestampType(),
+    "loose": T.StringType(),
 }
 _ACCEPTED = {
     "text": (T.StringType, T.VarcharType, T.CharType),
@@ -206,6 +208,7 @@ _ACCEPTED = {
     "number": (T.NumericType,),
     "date": (T.DateType,),
     "time": (T.TimestampType, T.TimestampNTZType),
+    "loose": (T.StringType, T.VarcharType, T.CharType, T.BooleanType, T.IntegralType),
 }
 
 

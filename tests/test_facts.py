@@ -6,8 +6,10 @@ from decimal import Decimal
 
 import pytest
 from conftest import RUN_TS, rows
+from pyspark.sql import functions as F
 
 from claimstar.operators import dims, enrich, facts
+from claimstar.sources.inputs import stage
 
 
 def groups(given):
@@ -441,6 +443,31 @@ def test_brand_flag_texts(given, text, kind):
     assert rows(frame, "brand_vs_generic") == [(kind,)]
 
 
+def test_brand_flags_of_different_types(given, spark):
+    """A boolean or a number in one table and text in the other."""
+    claims = [{"pharmacy_claim_id": i, "data_source": "a", "ndc_code": i} for i in "123"]
+    packages = given(
+        "drug_packages",
+        *[{"ndc11": i, "drug_id": i, "drug_name": "n", "is_brand": "no"} for i in "123"],
+    )
+    flagged = spark.createDataFrame(
+        [("1", "a", True), ("2", "b", False)], "drug_id string, drug_name string, is_brand boolean"
+    )
+    for drugs in (flagged, flagged.withColumn("is_brand", F.col("is_brand").cast("int"))):
+        frame = facts.pharmacy_claims(
+            given("pharmacy_claim", *claims),
+            packages,
+            stage("drugs", drugs, RUN_TS),
+            given("drug_classes"),
+            given("practitioner"),
+        )
+        assert rows(frame, "pharmacy_claim_id", "brand_name", "brand_vs_generic") == [
+            ("1", "a", "brand"),
+            ("2", None, "generic"),
+            ("3", None, "generic"),
+        ]
+
+
 def test_pharmacy_cost_edges_and_threshold(given):
     supplies = {
         "zero days": (100, 0),

@@ -33,6 +33,22 @@ def settings(spark):
             spark.conf.set(key, value)
 
 
+def test_bucketed_claims_are_ranked_without_moving(spark, stored_inputs):
+    spark.sql("create database if not exists bucketed")
+    (
+        stored_inputs["medical_claim"]
+        .write.mode("overwrite")
+        .bucketBy(4, "encounter_id", "data_source")
+        .saveAsTable("bucketed.medical_claim")
+    )
+    inputs = {**stored_inputs, "medical_claim": spark.table("bucketed.medical_claim")}
+    bucketed = Star(inputs, RUN_TS).table("dim_encounter_provider")
+    plain = Star(stored_inputs, RUN_TS).table("dim_encounter_provider")
+    assert "hashpartitioning(encounter_id" in physical(plain)
+    assert "hashpartitioning(encounter_id" not in physical(bucketed)
+    assert sorted(bucketed.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
 @pytest.mark.parametrize("name", [*TABLES, *INTERMEDIATES])
 def test_no_python_and_no_cross_product(spark, name):
     plan = physical(Star(BoundInputs(spark, SF_DIR), RUN_TS).table(name))
