@@ -422,7 +422,8 @@ def test_pharmacy_drug_enrichment(given):
         "prescribing_specialty",
     )
     assert rows(frame, *columns) == [
-        ("brand", "package brand", "normal brand", "normal brand", "brand", None, "four", "doctor a"),
+        ("brand", "package brand", "normal brand", "normal brand", "brand")
+        + (None, "four", "doctor a"),
         ("generic", "package generic", "package generic", None, "generic", None, None, "doctor b"),
         ("package only", "package alone", "package alone", "package alone", "brand")
         + (None, None, None),
@@ -511,4 +512,5 @@ def test_quality_and_risk_facts_keep_the_source_grain(given):
             {"person_id": "p", "data_source": "b", "normalized_risk_score": 3.4},
         )
     )
-    assert [float(v) for _, v in rows(scores, "data_source", "normalized_risk_score")] == [1.4, 3.4]
+    values = [float(v) for _, v in rows(scores, "data_source", "normalized_risk_score")]
+    assert values == [1.4, 3.4]
