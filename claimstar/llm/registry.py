@@ -9,6 +9,8 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
+    "op2_simhash": "simhash",
+    "op10_decontamination": "decontamination",
     "op5_wavelet": "wavelet",
     "op9_packing": "packing",
 }
