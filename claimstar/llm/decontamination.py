@@ -6,8 +6,9 @@ edit distance over words, and a document holds an item if some passage of it is
 
 Items are handled in classes of similar length. In each class:
 
-1. Exact pruning: such a passage begins at a word of the items and holds, in the class's shortest
-   length, at least that length less the allowed edits of the class's longest item in item words.
+1. Exact pruning: such a passage begins at a word of the class's items and holds, in its shortest
+   length, at least that length less the allowed edits of its longest item in words of its items.
+   It also holds all but the allowed edits of an item's rare words, those in no other item.
    Cumulative counts find all begins that qualify; no passage is lost here.
 2. CGK: item and window walk through their words by the same random bits (step j moves on if the bit
    of (j, word) is set), which turns few edits into few differing steps.
@@ -35,10 +36,10 @@ from pyspark.sql import functions as F
 from claimstar.llm import common
 
 SIMILARITY = 0.8
-REPETITIONS = 24
+REPETITIONS = 20
 SAMPLED = 3
 BLOCK = 2000
-CLASS_RATIO = 1.15
+CLASS_RATIO = 1.08
 BATCH_WORDS = 400_000
 
 FOUND = "doc_id long, item_id long, start_word long, distance long, item_words long"
@@ -53,7 +54,7 @@ def words(text: str | None) -> list[bytes]:
 class _Class:
     """Items of similar length: their words, walks and keys."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], similarity: float) -> None:
+    def __init__(self, items: list[tuple[int, np.ndarray]], similarity: float, rare) -> None:
         self.names = np.array([i for i, _ in items], np.int64)
         self.sizes = np.array([len(w) for _, w in items], np.int64)
         self.low, self.high = int(self.sizes.min()), int(self.sizes.max())
@@ -62,28 +63,42 @@ class _Class:
         for row, (_, w) in zip(self.words, items):
             row[: len(w)] = w
         self.needed = self.low - int(self.edits.max())
+        self.mine = np.zeros(len(rare), bool)
+        self.mine[self.words[self.words >= 0]] = True
+        self.rare = rare & self.mine
+        rares = np.array([int(rare[w].sum()) for _, w in items])
+        self.rare_needed = int((rares - self.edits).min())
+        self.reach = int((self.sizes + self.edits).max())
         self.steps = max(SAMPLED, int(1.8 * self.low))
 
 
-def _walk(words: np.ndarray, start: np.ndarray, end: np.ndarray, bits: np.ndarray, steps: list[int]):
-    """The words seen at the sampled steps of the walk over words[start:end]; beyond the end, -1."""
-    at = start.copy()
-    last = len(words) - 1
-    seen = []
+def _walk(words: np.ndarray, start: np.ndarray, end: np.ndarray, bits: np.ndarray, steps, among=None):
+    """The rows whose walk goes on and the words they saw at the sampled steps; beyond the end, -1.
+
+    With `among`, the words that any item saw at each sampled step, other rows stop there.
+    """
+    row = np.arange(len(start))
+    at, end = start.astype(np.int32), end.astype(np.int32)
+    last = np.int32(len(words) - 1)
+    seen: list[np.ndarray] = []
     for step in range(steps[-1] + 1):
         inside = at < end
-        word = np.where(inside, words[np.minimum(at, last)], -1)
+        word = np.where(inside, words[np.minimum(at, last)], np.int32(-1))
         if step in steps:
             seen.append(word)
-        at += bits[step % len(bits), word & 1023] & inside
-    return seen
+            if among is not None:
+                on = among[len(seen) - 1][word]
+                row, at, end, word, inside = row[on], at[on], end[on], word[on], inside[on]
+                seen = [s[on] for s in seen]
+        at += bits[step, word & 1023] & inside
+    return row, seen
 
 
 def _mixed(seen: list[np.ndarray]) -> np.ndarray:
     """One exact key of the sampled words (numbers of at most 20 bits each, three of them)."""
     key = np.zeros(len(seen[0]), np.int64)
     for word in seen:
-        key = key * 1_048_573 + word + 1
+        key = key * 1_048_573 + word.astype(np.int64) + 1
     return key
 
 
@@ -117,15 +132,19 @@ class Searcher:
             ((i, np.array([self.vocabulary[x] for x in w], np.int64)) for i, w in tokens),
             key=lambda x: (len(x[1]), x[0]),
         )
+        uses = np.zeros(len(self.vocabulary) + 1, np.int64)
+        for _, w in numbered:
+            uses[np.unique(w)] += 1
+        self.rare = uses == 1
         self.classes: list[_Class] = []
         held: list = []
         for item in numbered:
             if held and len(item[1]) > max(CLASS_RATIO * len(held[0][1]), len(held[0][1])):
-                self.classes.append(_Class(held, similarity))
+                self.classes.append(_Class(held, similarity, self.rare))
                 held = []
             held.append(item)
         if held:
-            self.classes.append(_Class(held, similarity))
+            self.classes.append(_Class(held, similarity, self.rare))
         self.tables = [self._tables(c, repetitions, n) for n, c in enumerate(self.classes)]
 
     @staticmethod
@@ -134,11 +153,16 @@ class Searcher:
         flat, start = c.words.ravel(), np.arange(len(c.words)) * c.high
         tables = []
         for _ in range(repetitions):
-            bits = random.integers(0, 2, (c.steps, 1024))
-            steps = sorted(random.choice(c.steps, SAMPLED, replace=False).tolist())
-            key = _mixed(_walk(flat, start, start + c.sizes, bits, steps))
+            bits = random.integers(0, 2, (c.steps, 1024), np.int8).astype(bool)
+            edge = np.linspace(c.steps // 6, c.steps, SAMPLED).astype(int)  # an early one stops most
+            steps = [int(random.integers(a, b)) for a, b in zip([0, *edge], [max(1, edge[0]), *edge[1:]])]
+            _, seen = _walk(flat, start, start + c.sizes, bits, steps)
+            among = np.zeros((SAMPLED, len(c.mine) + 1), bool)  # the last place is that of -1
+            for places, word in zip(among, seen):
+                places[word] = True
+            key = _mixed(seen)
             order = np.argsort(key, kind="stable")
-            tables.append((bits, steps, key[order], order))
+            tables.append((bits, steps, among, key[order], order))
         return tables
 
     def find(self, documents: list[list[bytes]]) -> Iterator[tuple[int, int, int, int, int]]:
@@ -146,29 +170,44 @@ class Searcher:
         sizes = np.fromiter(map(len, documents), np.int64, len(documents))
         get = self.vocabulary.get
         flat = np.concatenate(
-            [np.fromiter(map(get, d, repeat(0)), np.int64, len(d)) for d in documents] or [[]]
-        ).astype(np.int64)
+            [np.fromiter(map(get, d, repeat(0)), np.int32, len(d)) for d in documents] or [[]]
+        ).astype(np.int32)
         if not len(flat):
             return
         ends = np.cumsum(sizes)
-        known = np.append(0, np.cumsum(flat > 0))
-        begins = np.flatnonzero(flat > 0)
-        doc = np.searchsorted(ends, begins, side="right")
-        limit = ends[doc]
+        count = np.empty(len(flat) + 1, np.int32)
         for c, tables in zip(self.classes, self.tables):
-            held = known[np.minimum(begins + c.low, limit)] - known[begins] >= max(c.needed, 1)
-            if held.any():
-                yield from self._verified(c, tables, flat, begins[held], doc[held], ends, sizes)
+            begins = self._begins(flat, ends, count, c, c.mine, c.low, max(c.needed, 1), None)
+            begins = self._begins(flat, ends, count, c, c.rare, c.reach, c.rare_needed, begins)
+            if len(begins):
+                doc = np.searchsorted(ends, begins, side="right")
+                yield from self._verified(c, tables, flat, begins, doc, ends, sizes)
+
+    @staticmethod
+    def _begins(flat, ends, count, c, counted, reach, needed, begins):
+        """Begins that have `needed` of the counted words within reach and the document."""
+        is_mine = c.mine[flat] if begins is None else None
+        if needed <= 0 or (begins is not None and not len(begins)):
+            return begins
+        count[0] = 0
+        np.cumsum(is_mine if is_mine is not None else counted[flat], dtype=np.int32, out=count[1:])
+        if begins is None:  # documents' ends first cut off too little, then exactly
+            far = np.minimum(np.arange(reach, len(flat) + reach), len(flat))
+            begins = np.flatnonzero(is_mine & (count[far] - count[:-1] >= needed))
+        limit = ends[np.searchsorted(ends, begins, side="right")]
+        far = np.minimum(begins + reach, limit)
+        return begins[count[far] - count[begins] >= needed]
 
     def _verified(self, c, tables, flat, begin, doc, ends, sizes):
         end = np.minimum(begin + c.high, ends[doc])
         pairs = []
-        for bits, steps, key, order in tables:
-            mine = _mixed(_walk(flat, begin, end, bits, steps))
+        for bits, steps, among, key, order in tables:
+            row, seen = _walk(flat, begin, end, bits, steps, among)
+            mine = _mixed(seen)
             low = np.searchsorted(key, mine)
             n = np.searchsorted(key, mine, side="right") - low
-            window = np.repeat(np.arange(len(begin)), n)
-            place = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n) + low[window]
+            window = np.repeat(row, n)
+            place = np.arange(len(window)) - np.repeat(np.cumsum(n) - n - low, n)
             pairs.append(window * len(key) + order[place])
         pairs = np.unique(np.concatenate(pairs))
         width = c.high + int(c.edits.max())
