@@ -9,6 +9,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
+    "op3_quality": "quality",
     "op1_toxicity": "toxicity",
     "op2_simhash": "simhash",
     "op10_decontamination": "decontamination",
