@@ -9,6 +9,8 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
+    "op7_html": "html",
+    "op6_fingerprints": "fingerprints",
     "op3_quality": "quality",
     "op1_toxicity": "toxicity",
     "op2_simhash": "simhash",
