@@ -9,6 +9,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
+    "op4_secrets": "secrets",
     "op7_html": "html",
     "op6_fingerprints": "fingerprints",
     "op3_quality": "quality",
