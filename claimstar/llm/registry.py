@@ -9,6 +9,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
+    "op8_mixing": "mixing",
     "op4_secrets": "secrets",
     "op7_html": "html",
     "op6_fingerprints": "fingerprints",
