@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from claimstar.llm import common
 
 SIMILARITY = 0.8
-REPETITIONS = 20
+REPETITIONS = 32
 SAMPLED = 3
 BLOCK = 2000
 CLASS_RATIO = 1.08
