@@ -229,26 +229,39 @@ def member_months(
 ) -> DataFrame:
     """Member months with risk, cost and the share of each month in its coverage year.
 
-    ``member_month_id`` is unique, so risk is attached to the row itself rather than joined back
-    by that id. The months of a year are counted by an aggregate over the narrow member months
-    and joined: a placeholder member that holds very many rows is combined map-side and then
-    split by adaptive execution, while a window would sort it in one task. Counting before the
-    other joins gives the months of the result as long as those do not repeat a month, which is
-    what the uniqueness rule on ``member_month_id`` checks. The 70 cost columns come last, so no
+    Risk is attached by ``member_month_id`` and source, so a month without an id gets none, and a
+    month has as many rows as its risk rows times its cost rows. The months of a year count all of
+    these: the numbers of risk and cost rows per key, each from a narrow aggregate, are multiplied
+    per month and summed, all combined map-side; a window over the joined rows would sort a
+    placeholder member that holds very many rows in one task. The 70 cost columns come last, so no
     later exchange moves them. A null payer or plan matches a null one; a null member id never
     matches cost.
     """
     year = ["person_id", "member_id", "payer", "plan", "data_source", "year_nbr"]
-    coverage = member_month.groupBy(*year).agg(F.count(F.lit(1)).alias("total_year_months"))
-    months = left_join_null_safe(member_month, coverage, plain=[], null_safe=year)
-    costs = cost.select(
-        "person_id", "member_id", "year_month", "payer", "plan", "data_source", *COST_MEASURES
+    by_id = ["member_month_id", "data_source"]
+    risk = with_risk(member_month, risk_scores_monthly).select(*by_id, *RISK_COLUMNS)
+    risk = risk.filter("member_month_id is not null")
+    plain, null_safe = ["person_id", "member_id", "year_month", "data_source"], ["payer", "plan"]
+    costs = cost.select(*plain, *null_safe, *COST_MEASURES)
+    many = F.count(F.lit(1))
+    counted = member_month.select("member_month_id", "year_month", *year)
+    counted = left_join_null_safe(
+        counted, risk.groupBy(*by_id).agg(many.alias("n_risk")), plain=by_id, null_safe=[]
+    )
+    counted = left_join_null_safe(
+        counted,
+        costs.groupBy(*plain, *null_safe).agg(many.alias("n_cost")),
+        plain=plain,
+        null_safe=null_safe,
     )
+    rows = F.coalesce("n_risk", F.lit(1)) * F.coalesce("n_cost", F.lit(1))
+    coverage = counted.groupBy(*year).agg(F.sum(rows).alias("total_year_months"))
+    months = left_join_null_safe(member_month, coverage, plain=[], null_safe=year)
     costed = left_join_null_safe(
-        with_risk(months, risk_scores_monthly),
+        left_join_null_safe(months, risk, plain=by_id, null_safe=[]),
         costs,
-        plain=["person_id", "member_id", "year_month", "data_source"],
-        null_safe=["payer", "plan"],
+        plain=plain,
+        null_safe=null_safe,
     )
     one = F.lit(1)
     share = ratio(one, F.col("total_year_months"))

@@ -184,15 +184,18 @@ def build(
     """Rebuild ``tables`` into ``sink`` and return them as read back from it.
 
     Each table is written once and later ones start from the stored copy, so lost executors cost
-    at most the tasks of the table at hand, and a failed build can be repeated as a whole.
+    at most the tasks of the table at hand. The wanted tables are always computed from the inputs:
+    ``star`` itself is not changed, so a build, failed or not, can be repeated with it.
     """
     wanted = set(tables)
     unknown = wanted - set(TABLES)
     if unknown:
         raise KeyError(f"not a published table: {sorted(unknown)}")
+    kept = {name: frame for name, frame in star.stored.items() if name not in wanted}
+    own = Star(star.inputs, star.run_ts, star.specialty_threshold, kept)
     for name in TABLES:
         if name in wanted:
-            frame = star.table(name)
+            frame = own.table(name)
             sink.write(name, frame)
-            star.stored[name] = sink.read(spark, name, frame)
-    return {name: star.stored[name] for name in TABLES if name in wanted}
+            own.stored[name] = sink.read(spark, name, frame)
+    return {name: own.stored[name] for name in TABLES if name in wanted}

@@ -235,7 +235,10 @@ def schema(name: str) -> T.StructType:
 
 
 def conform(name: str, frame: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Project ``frame`` to the columns of the contract; raise on missing or mistyped ones."""
+    """Project ``frame`` to the columns of the contract; raise on missing or mistyped ones.
+
+    Amounts of any numeric type become decimals, so that sums do not depend on task order.
+    """
     contract = CONTRACTS[name]
     wanted = list(columns) if columns is not None else list(contract)
     actual = {field.name: field.dataType for field in frame.schema.fields}
@@ -249,6 +252,12 @@ def conform(name: str, frame: DataFrame, columns: Iterable[str] | None = None) -
             )
     if problems:
         raise ContractError(f"{name}: " + "; ".join(problems))
+    inexact = {
+        column: frame[column].cast(_TYPES["number"])
+        for column in wanted
+        if contract[column] == "number" and isinstance(actual[column], (T.DoubleType, T.FloatType))
+    }
+    exact = frame.withColumns(inexact) if inexact else frame
     if name in OPEN_CONTRACTS:
-        return frame.select("*")
-    return frame.select(*wanted)
+        return exact
+    return exact.select(*wanted)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimstar.functions.columns import run_stamp
-from claimstar.sources import seeds
 from claimstar.sources.contracts import CONTRACTS, STAMP, conform
 
 # These carry the run timestamp of their own build; terminology without a stamp stays bare;
@@ -52,20 +51,11 @@ def load_inputs(
 
     ``read`` is :func:`parquet_reader`, :func:`table_reader` or any function from an input name
     to a DataFrame. ``renames`` maps upstream column names to contract names. The two key value
-    sets default to the ones of this package when ``read`` raises ``KeyError`` for them.
+    sets must be given like any other input: encounters of labels outside them are dropped.
     """
-    defaults = {
-        "encounter_group_keys": seeds.default_group_keys,
-        "encounter_type_keys": seeds.default_type_keys,
-    }
     loaded = {}
     for name in names or CONTRACTS:
-        try:
-            frame = read(name)
-        except KeyError:
-            if name not in defaults:
-                raise
-            frame = defaults[name](spark)
+        frame = read(name)
         loaded[name] = frame.withColumnsRenamed(dict(renames or {}))
         conform(name, loaded[name])
     return loaded
@@ -74,13 +64,13 @@ def load_inputs(
 def parquet_reader(
     spark: SparkSession, root: str, paths: Mapping[str, str | None] | None = None
 ) -> Callable[[str], DataFrame]:
-    """Read ``root/<name>``; ``paths`` overrides single names, None asks for the default keys."""
+    """Read ``root/<name>``; ``paths`` overrides single names; None refuses one."""
     overrides = dict(paths or {})
 
     def read(name: str) -> DataFrame:
         path = overrides.get(name, f"{root}/{name}")
         if path is None:
-            raise KeyError(name)
+            raise KeyError(f"no path for the input {name}")
         return spark.read.parquet(path)
 
     return read
@@ -95,7 +85,7 @@ def table_reader(
     def read(name: str) -> DataFrame:
         table = overrides.get(name, f"{database}.{name}")
         if table is None:
-            raise KeyError(name)
+            raise KeyError(f"no table for the input {name}")
         return spark.table(table)
 
     return read

@@ -1,7 +1,11 @@
-"""Where the built tables go: full overwrite of Parquet folders or catalog tables."""
+"""Where the built tables go: full replacement of Parquet folders or catalog tables.
+
+A table is written beside the old one, which stays readable until the new one is complete.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -27,10 +31,18 @@ class ParquetSink:
 
     def write(self, name: str, frame: DataFrame) -> None:
         columns = tuple(self.partition_by.get(name, ()))
-        writer = _laid_out(frame, columns).write.mode("overwrite")
+        writer = _laid_out(frame, columns).write
         if columns:
             writer = writer.partitionBy(*columns)
-        writer.parquet(self.path(name))
+        fresh = f"{self.root}/.{self.prefix}{name}-{uuid.uuid4().hex}"
+        writer.parquet(fresh)
+        spark = frame.sparkSession
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        new, old = hadoop(fresh), hadoop(self.path(name))
+        files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(old, True)
+        if not files.rename(new, old):
+            raise OSError(f"{fresh} could not be renamed to {self.path(name)}")
 
     def read(self, spark: SparkSession, name: str, like: DataFrame) -> DataFrame:
         return spark.read.schema(like.schema).parquet(self.path(name)).select(*like.columns)
@@ -51,12 +63,16 @@ class TableSink:
     def write(self, name: str, frame: DataFrame) -> None:
         columns = tuple(self.partition_by.get(name, ()))
         buckets = self.bucket_by.get(name)
-        writer = _laid_out(frame, columns).write.mode("overwrite").format("parquet")
+        writer = _laid_out(frame, columns).write.format("parquet")
         if columns:
             writer = writer.partitionBy(*columns)
         if buckets:
             writer = writer.bucketBy(buckets[0], *buckets[1]).sortBy(*buckets[1])
-        writer.saveAsTable(self.table(name))
+        fresh = f"{self.table(name)}_{uuid.uuid4().hex}"
+        writer.saveAsTable(fresh)
+        spark = frame.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {self.table(name)}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {self.table(name)}")
 
     def read(self, spark: SparkSession, name: str, like: DataFrame) -> DataFrame:
         return spark.table(self.table(name)).select(*like.columns)

@@ -185,13 +185,18 @@ def _multiple(measure: str) -> str:
     return f"cast({_PAID} * {factor} as decimal(18,2))"
 
 
+def _unless(matches: str, key: str) -> str:
+    """The key where it shall match, and one that matches nothing elsewhere: no row is left out."""
+    return f"case when {matches} then {key} else 'X' || {key} end"
+
+
 _BOUND: dict[str, Binding] = {
     "patient": Binding(
         CUSTOMERS,
         "c_custkey",
         _FIXED_DAY,
         {
-            "person_id": _CUSTOMER,
+            "person_id": _unless("c_custkey % 3 = 0 or source_name = 'src_a'", _CUSTOMER),
             "data_source": "source_name",
             "last_name": "c_name",
             "sex": "case when c_custkey % 2 = 0 then 'female' else 'male' end",
@@ -201,14 +206,12 @@ _BOUND: dict[str, Binding] = {
             ),
             "age_group": "case when c_custkey % 80 < 20 then '65+' else '0-64' end",
         },
-        where="c_custkey % 3 = 0 or source_name = 'src_a'",
     ),
     "eligibility": Binding(
         ORDERS,
         "c_custkey",
         _ORDER_DAY,
         {"person_id": _PERSON, "payer": _PAYER, "data_source": _ORDER_SOURCE},
-        where="o_orderkey % 2 = 0",
         distinct=True,
     ),
     "encounter": Binding(
@@ -302,7 +305,6 @@ _BOUND: dict[str, Binding] = {
             "prescribing_provider_id": "'PR' || cast(l_suppkey as string)",
             "dispensing_date": "cast(l_shipdate as date)",
         },
-        where="l_returnflag = 'R'",
     ),
     "practitioner": Binding(
         SUPPLIERS,
@@ -324,10 +326,11 @@ _BOUND: dict[str, Binding] = {
         _FIXED_DAY,
         {
             "service_category_1": _CATEGORY_1,
-            "service_category_2": "p_type",
+            "service_category_2": _unless(
+                "not (p_type = 'PROMO' and p_brand = 'Brand#13')", "p_type"
+            ),
             "service_category_3": _CATEGORY_3,
         },
-        where="not (p_type = 'PROMO' and p_brand = 'Brand#13')",
         distinct=True,
     ),
     "calendar": Binding(
@@ -356,8 +359,7 @@ _BOUND: dict[str, Binding] = {
         ORDERS,
         "c_custkey",
         "last_day(cast(o_orderdate as date))",
-        _COVERAGE,
-        where="c_custkey % 6 <> 0",
+        {**_COVERAGE, "person_id": _unless("c_custkey % 6 <> 0", _PERSON)},
         aggregates={m: _multiple(m) for m in COST_MEASURES},
     ),
     "risk_scores_monthly": Binding(
@@ -365,7 +367,7 @@ _BOUND: dict[str, Binding] = {
         "c_custkey",
         "last_day(cast(o_orderdate as date))",
         {
-            "person_id": _PERSON,
+            "person_id": _unless("c_custkey % 4 <> 0", _PERSON),
             "payer": _PAYER,
             "data_source": _ORDER_SOURCE,
             "risk_model_code": (
@@ -377,7 +379,6 @@ _BOUND: dict[str, Binding] = {
                 " else (50 + c_custkey % 30) / 100.0 end as decimal(18,6))"
             ),
         },
-        where="c_custkey % 4 <> 0",
         distinct=True,
     ),
     "risk_scores": Binding(
@@ -408,7 +409,6 @@ _BOUND: dict[str, Binding] = {
             "model_version": "'v28'",
             "payment_year": "cast(2018 as int)",
         },
-        where="c_custkey % 2 = 0",
     ),
     "hcc_suspects": Binding(
         GAPS,
@@ -422,7 +422,6 @@ _BOUND: dict[str, Binding] = {
             "hcc_code": "cast(n_nationkey as string)",
             "hcc_description": "n_name",
         },
-        where="c_custkey % 3 = 0",
     ),
     "quality_measures": Binding(
         EVENTS,
@@ -453,7 +452,7 @@ _BOUND: dict[str, Binding] = {
         "o_orderkey",
         _ORDER_DAY,
         {
-            "encounter_id": _ENCOUNTER,
+            "encounter_id": _unless("o_orderkey % 3 <> 0", _ENCOUNTER),
             "data_source": _ORDER_SOURCE,
             "index_admission_flag": "cast(1 as int)",
             "readmit_30_flag": "cast(case when o_orderkey % 4 = 0 then 1 else 0 end as int)",
@@ -461,26 +460,28 @@ _BOUND: dict[str, Binding] = {
                 "cast(case when o_orderkey % 4 = 0 then o_orderkey % 30 end as int)"
             ),
         },
-        where=f"{_ADMITTED} and o_orderkey % 3 <> 0",
+        where=_ADMITTED,
     ),
     "pqi_summary": Binding(
         ORDER_PQIS,
         "o_orderkey",
         _ORDER_DAY,
         {
-            "encounter_id": _ENCOUNTER,
+            "encounter_id": _unless(
+                "o_orderkey % 5 = 0 and (pqi = '05' or o_orderkey % 2 = 0)", _ENCOUNTER
+            ),
             "data_source": _ORDER_SOURCE,
             "pqi_number": "pqi",
             "pqi_name": "'PQI ' || pqi",
         },
-        where=f"{_ADMITTED} and (o_orderkey % 5 = 0 and (pqi = '05' or o_orderkey % 2 = 0))",
+        where=_ADMITTED,
     ),
     "ed_classification": Binding(
         ORDERS,
         "o_orderkey",
         _ORDER_DAY,
         {
-            "encounter_id": _ENCOUNTER,
+            "encounter_id": _unless("o_orderkey % 6 <> 5", _ENCOUNTER),
             "person_id": _PERSON,
             "data_source": _ORDER_SOURCE,
             "ed_classification_order": (
@@ -491,20 +492,19 @@ _BOUND: dict[str, Binding] = {
                 "'class ' || cast(1 + o_orderkey % 6 as string)"
             ),
         },
-        where="o_orderpriority = '1-URGENT' and o_orderkey % 6 <> 5",
+        where="o_orderpriority = '1-URGENT'",
     ),
     "diagnosis_categories": Binding(
         DIAGNOSES,
         "k",
         _FIXED_DAY,
         {
-            "code": "'D' || cast(k as string)",
+            "code": _unless("k % 4 <> 0", "'D' || cast(k as string)"),
             "ccsr_parent_category": "'BODY' || cast(k % 7 as string)",
             "ccsr_category": "'CAT' || cast(k * 10 + r as string)",
             "ccsr_category_description": "'category ' || cast(k * 10 + r as string)",
             "ccsr_category_rank": "r",
         },
-        where="k % 4 <> 0",
     ),
     "encounter_group_keys": Binding(
         ORDERS,
@@ -541,7 +541,7 @@ _BOUND: dict[str, Binding] = {
         "p_partkey",
         _FIXED_DAY,
         {
-            "ndc11": _NDC.format("p_partkey"),
+            "ndc11": _unless("p_partkey % 10 <> 9", _NDC.format("p_partkey")),
             "drug_id": _DRUG,
             "drug_name": "p_name",
             "is_brand": (
@@ -549,20 +549,18 @@ _BOUND: dict[str, Binding] = {
                 " when 3 then 'F' when 4 then 'maybe' else null end"
             ),
         },
-        where="p_partkey % 10 <> 9",
     ),
     "drugs": Binding(
         PARTS,
         "p_partkey % 500",
         _FIXED_DAY,
         {
-            "drug_id": _DRUG,
+            "drug_id": _unless("p_partkey % 500 % 7 <> 0", _DRUG),
             "drug_name": "'drug ' || cast(p_partkey % 500 as string)",
             "is_brand": (
                 "case p_partkey % 500 % 4 when 0 then 'y' when 1 then 'false' else null end"
             ),
         },
-        where="p_partkey % 500 % 7 <> 0",
         distinct=True,
     ),
     "drug_classes": Binding(
@@ -570,7 +568,7 @@ _BOUND: dict[str, Binding] = {
         "p_partkey % 500",
         _FIXED_DAY,
         {
-            "drug_id": _DRUG,
+            "drug_id": _unless("p_partkey % 500 % 5 <> 0", _DRUG),
             **{
                 f"atc_{level}_name": (
                     f"'ATC{level}-' || cast(p_partkey % 500 % {modulus} as string)"
@@ -578,7 +576,6 @@ _BOUND: dict[str, Binding] = {
                 for level, modulus in ((1, 14), (2, 20), (3, 30), (4, 45))
             },
         },
-        where="p_partkey % 500 % 5 <> 0",
         distinct=True,
     ),
 }

@@ -51,7 +51,7 @@ def test_rules_hold_on_the_stored_star_except_the_known_ones(built):
     _, star, tables = built
 
     def resolve(name):
-        return star.input(name) if name in CONTRACTS else star.table(name)
+        return star.input(name) if name in CONTRACTS else tables[name]
 
     failed = quality.run(resolve).filter("violations > 0")
     assert {(r.check_name, r.table_name, r.column_names) for r in failed.collect()} == {
@@ -80,3 +80,34 @@ def test_unknown_table_is_refused(spark):
         build(spark, lazy(spark), ParquetSink("/nowhere"), ["fact_conditions"])
     with pytest.raises(KeyError):
         lazy(spark).table("fact_conditions")
+
+
+class Breaks:
+    """A sink that fails at its second table."""
+
+    def __init__(self, sink):
+        self.sink, self.writes = sink, 0
+
+    def write(self, name, frame):
+        self.writes += 1
+        if self.writes == 2:
+            raise RuntimeError("lost")
+        self.sink.write(name, frame)
+
+    def read(self, spark, name, like):
+        return self.sink.read(spark, name, like)
+
+
+@pytest.mark.parametrize("kind", ["folders", "catalog"])
+def test_a_build_can_be_repeated(spark, tmp_path, kind):
+    if kind == "folders":
+        sink = ParquetSink(str(tmp_path))
+    else:
+        spark.sql("CREATE DATABASE IF NOT EXISTS repeated")
+        sink = TableSink("repeated", "r_")
+    star, names = lazy(spark), ["dim_member", "dim_service_category"]
+    first = {n: f.count() for n, f in build(spark, star, sink, names).items()}
+    with pytest.raises(RuntimeError):
+        build(spark, star, Breaks(sink), names)
+    again = build(spark, star, sink, names)
+    assert {n: f.count() for n, f in again.items()} == first

@@ -368,6 +368,46 @@ def test_month_allocation_against_brute_force(given):
     assert rows(frame, *columns) == sorted(expected)
 
 
+def test_months_count_the_rows_that_risk_and_cost_add(given):
+    """Two risk rows, two cost rows, repeated and missing ids, against the joins written out."""
+    months = [
+        month("m1", member_id="1", payer="y", plan="x", year_month="202501"),
+        month("m2", member_id="1", payer="y", plan="x", year_month="202502"),
+        month(None, member_id="1", payer="y", plan="x", year_month="202503"),
+        month("m4", member_id="1", payer="y", plan="x", year_month="202504"),
+        month("m4", member_id="1", payer="y", plan="x", year_month="202505"),
+    ]
+    score = {"person_id": "p", "data_source": "a", "payer": "y", "normalized_risk_score": 1}
+    risk = [
+        {**score, "collection_end_date": f"2025-{m[4:]}-28", "risk_model_code": code}
+        for m, code in [("202501", "a"), ("202501", "b"), ("202503", "c"), ("202504", "d")]
+    ]
+    cost = [
+        {"person_id": "p", "member_id": "1", "data_source": "a", "payer": "y", "plan": "x",
+         "year_month": m, "total_paid": paid}
+        for m, paid in [("202502", 1), ("202502", 2), ("202503", 3)]
+    ]
+    frame = facts.member_months(
+        given("member_month", *months),
+        given("risk_scores_monthly", *risk),
+        given("cost", *cost),
+    )
+    codes = {m: [r["risk_model_code"] for r in risk if r["collection_end_date"][5:7] == f"{m:02}"] or [None] for m in range(1, 6)}
+    by_id = {}
+    for m in months:
+        by_id.setdefault(m["member_month_id"], []).extend(codes[int(m["year_month"][4:])])
+    expected = []
+    for m in months:
+        paid = [c["total_paid"] for c in cost if c["year_month"] == m["year_month"]] or [None]
+        found = by_id[m["member_month_id"]] if m["member_month_id"] else [None]
+        expected += [(m["year_month"], k, p) for k in found for p in paid]
+    got = frame.select("year_month", "risk_model_code", "total_paid").collect()
+    plain = sorted((a, b or "", int(c or 0)) for a, b, c in got)
+    assert plain == sorted((a, b or "", c or 0) for a, b, c in expected)
+    totals = frame.select("total_year_months", "month_allocation_factor").distinct().collect()
+    assert [tuple(t) for t in totals] == [(len(expected), 1 / len(expected))]
+
+
 def pharmacy(given, claims, packages=(), drugs=(), classes=(), practitioners=(), **more):
     return facts.pharmacy_claims(
         given("pharmacy_claim", *claims),

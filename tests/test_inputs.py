@@ -45,7 +45,7 @@ def test_stage_rules(spark, given):
     assert stage("augmented_admissions", wide, RUN_TS).columns == wide.columns
 
 
-def test_load_from_parquet_with_renames_and_default_keys(spark, tmp_path):
+def test_load_from_parquet_with_renames_refuses_a_missing_key_set(spark, tmp_path):
     upstream = {
         "default_attributed_provider": "house_attributed_provider",
         "last_run_ts": "house_last_run",
@@ -53,12 +53,13 @@ def test_load_from_parquet_with_renames_and_default_keys(spark, tmp_path):
     frame = spark.createDataFrame([], schema("member_month")).withColumnsRenamed(upstream)
     frame.write.parquet(f"{tmp_path}/member_month")
     read = parquet_reader(spark, str(tmp_path), {"encounter_type_keys": None})
-    names = ["member_month", "encounter_type_keys"]
     with pytest.raises(ContractError):
-        load_inputs(spark, read, names)
-    loaded = load_inputs(spark, read, names, {v: k for k, v in upstream.items()})
+        load_inputs(spark, read, ["member_month"])
+    renames = {v: k for k, v in upstream.items()}
+    loaded = load_inputs(spark, read, ["member_month"], renames)
     assert loaded["member_month"].columns == list(CONTRACTS["member_month"])
-    assert loaded["encounter_type_keys"].count() == len(seeds.TYPE_KEYS)
+    with pytest.raises(KeyError):
+        load_inputs(spark, read, ["member_month", "encounter_type_keys"], renames)
 
 
 def test_load_from_catalog(spark):
