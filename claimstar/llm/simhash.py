@@ -234,7 +234,8 @@ def representatives(docs: DataFrame, groups: DataFrame) -> DataFrame:
     keep = groups.where(F.col("doc_id") == F.col("component_id"))
     keep = common.stored(keep.groupBy("doc_id").agg(F.count("*").alias("n")), "kept-ids")
     ids, twice = keep.where("n = 1").select("doc_id"), keep.where("n > 1").select("doc_id")
-    once = docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+    # By shuffle at every size: the kept ids grow with the corpus, and the plan shall not change.
+    once = docs.join(ids.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     repeated = docs.join(twice, "doc_id", "left_semi").select(*docs.columns)
     nameless = docs.where(F.col("doc_id").isNull())
     return once.union(repeated.dropDuplicates(["doc_id"])).union(nameless)
