@@ -68,9 +68,9 @@ def cuts(data: np.ndarray, first: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of texts. `cached` bounds the pieces remembered; beyond it the memory starts afresh."""
 
-    SLOTS = 1 << 22
+    SLOTS = 1 << 21
 
-    def __init__(self, path: str, cached: int = 2_000_000) -> None:
+    def __init__(self, path: str, cached: int = 900_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -103,7 +103,7 @@ class Encoder:
         """Numbers of pieces, -1 for unknown ones."""
         found = np.full(len(keys), -1, np.int64)
         rest = np.arange(len(keys))
-        slot = (keys >> np.uint64(42)).astype(np.int64)
+        slot = (keys >> np.uint64(43)).astype(np.int64)
         while len(rest):
             there = self.keys[slot]
             same = there == keys[rest]
@@ -123,7 +123,7 @@ class Encoder:
         self._room("starts", to)[self.known : to] = self.used + np.cumsum(sizes) - sizes
         slots = self.keys
         for number, key in enumerate(keys.tolist(), self.known):
-            at = key >> 42
+            at = key >> 43
             while slots[at]:
                 at = (at + 1) & (self.SLOTS - 1)
             slots[at] = key

@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from claimstar.llm import common
 
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 5000
 MIN_DOCUMENTS = 4
 EVIDENCE = 4.0  # standard deviations above the share that chance gives
 AFFIXES = (4, 5)
 THRESHOLD = 0.3
 HELD_OUT = (4, 2)  # modulus and remainder of crc32(doc_id as text)
 ROUNDS = 150
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 _END = re.compile(r"[.?\n]+|(?<!!)!(?!!)")  # a run of exclamation marks is decoration
 _TOKENS = re.compile(r"[^\W\d_]+|[.?\n]+|(?<!!)!(?!!)").findall
