@@ -187,7 +187,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
 
 def redacted(docs: DataFrame, findings: DataFrame) -> DataFrame:
-    """The documents with every finding's text replaced by a mask and n_chars counted anew."""
+    """The documents with every finding's text replaced by a mask and n_chars counted anew.
+
+    Findings belong to documents by id, so rows without an id stay as they are.
+    """
     by_doc = findings.where("doc_id is not null").groupBy("doc_id")
     lists = by_doc.agg(F.sort_array(F.collect_set("secret"), asc=False).alias("claimstar_secrets"))
     lists = common.stored(lists, "secrets-by-document")

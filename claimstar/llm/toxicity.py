@@ -173,8 +173,8 @@ def fit(texts: list[str | None], labels: list[int]) -> MilModel:
     m, v, mb, vb = np.zeros(n), np.zeros(n), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
         z = bias + np.bincount(row, weight[column], minlength=len(owned))
-        none = np.bincount(owned, np.logaddexp(0.0, z), minlength=len(y))
-        none += plain * np.logaddexp(0.0, bias)
+        none = plain * np.logaddexp(0.0, bias)
+        none = none + np.bincount(owned, np.logaddexp(0.0, z), minlength=len(y))
         clean = np.exp(-none)
         pull = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), 1.0) / len(y)
         slope = pull[owned] * np.exp(-np.logaddexp(0.0, -z))

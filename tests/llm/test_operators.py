@@ -260,3 +260,56 @@ def test_empty_tables(spark):
     assert fingerprints.fingerprints(docs).isEmpty()
     assert mixing.scores(docs, 5, 1).isEmpty()
     assert common.shared_dir(spark)
+
+
+def every_row(operator, spark, docs):
+    """The ids of the operator's result, one per document."""
+    if operator == "toxicity":
+        return toxicity.score(docs, toxicity.fit(["you moron.", "all well."] * 9, [1, 0] * 9))
+    if operator == "quality":
+        x = np.array([quality.statistics(t) for t in prose(3, 20)])
+        return quality.score(docs, quality.fit(x, np.arange(20) % 2 * 1.0))
+    if operator == "simhash":
+        return simhash.near_duplicates(docs)
+    if operator == "fingerprints":
+        return fingerprints.fingerprints(docs)
+    if operator == "mixing":
+        return mixing.scores(docs, 5, 1)
+    if operator == "packing":
+        return packing.pack(docs, bpe.vocabulary(), 64).where("piece = 0")
+    pages = docs.selectExpr("doc_id as page_id", "concat('u', doc_id) as url", "text as html", "label as text")
+    return html.main_text(pages).withColumnRenamed("page_id", "doc_id")
+
+
+@pytest.mark.parametrize(
+    "operator", ["toxicity", "quality", "simhash", "fingerprints", "mixing", "packing", "html"]
+)
+def test_odd_and_repeated_rows_all_stay(spark, corpus, operator):
+    found = every_row(operator, spark, documents(spark, corpus))
+    assert Counter(r["doc_id"] for r in found.collect()) == Counter(i for i, _ in corpus)
+
+
+def test_scores_do_not_depend_on_other_columns(spark, corpus):
+    model = toxicity.fit(["you moron.", "all well."] * 9, [1, 0] * 9)
+    plain = documents(spark, corpus)
+    moved = plain.selectExpr("'other' as label", "text", "-1 as score", "doc_id")
+    first, second = (Counter(map(str, toxicity.score(d, model).collect())) for d in (plain, moved))
+    assert first == second
+    lone = toxicity.score(plain, model).where("doc_id is null").first()
+    assert lone["score"] == pytest.approx(model.score("no id"))
+
+
+def test_secrets_of_repeated_and_nameless_rows(spark):
+    key = "0f3a9c71e5b28d46" * 3
+    rows = [(1, f'token = "{key}"'), (1, f'token = "{key}"'), (None, f'token = "{key}"'), (2, None)]
+    found = secrets.scan(documents(spark, rows))
+    assert Counter(r["doc_id"] for r in found.collect()) == {1: 2, None: 1}
+    texts = [r["text"] for r in secrets.redacted(documents(spark, rows), found).collect()]
+    masked = f'token = "{secrets.MASK}"'
+    assert Counter(texts) == {masked: 2, rows[2][1]: 1, None: 1}
+
+
+def test_main_text_of_a_long_page():
+    paragraphs = [f"This is the paragraph of number {i} and it is in the article." for i in range(20000)]
+    page = "<body><article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article></body>"
+    assert html.extract(page) == "\n\n".join(paragraphs)
