@@ -173,14 +173,58 @@ def _null_counts(table: str, frame: DataFrame, columns: Sequence[str]) -> DataFr
     )
 
 
+def _key(rule: Rule) -> Column:
+    """The rule's key as exact text; null where the rule does not apply."""
+    key = F.to_json(F.struct(*rule.columns))  # nulls are left out, so they differ from any value
+    return F.when(F.col(rule.columns[0]).isNotNull(), key) if len(rule.columns) == 1 else key
+
+
+def _duplicate_counts(table: str, frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Duplicate keys of several rules in one pass, one result row per rule.
+
+    The table is computed once; its rows become (rule, key) pairs, which shrink in each task
+    before they move.
+    """
+    keys = F.array(
+        *[F.struct(F.lit(n).alias("rule"), _key(r).alias("key")) for n, r in enumerate(rules)]
+    )
+    pairs = frame.select(F.explode(keys).alias("pair")).select("pair.*").filter("key is not null")
+    repeated = pairs.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    repeated = repeated.filter("n_rows > 1")
+    counts = repeated.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(r.check).alias("check"),
+                    F.lit(",".join(r.columns)).alias("columns"),
+                    F.count_if(F.col("rule") == n).alias("violations"),
+                )
+                for n, r in enumerate(rules)
+            ]
+        ).alias("counts")
+    )
+    return counts.select(F.explode("counts").alias("c")).select(
+        F.col("c.check").alias("check_name"),
+        F.lit(table).alias("table_name"),
+        F.col("c.columns").alias("column_names"),
+        F.col("c.violations").alias("violations"),
+    )
+
+
 def run(tables: Tables, rules: Iterable[Rule] = RULES) -> DataFrame:
     """One row per rule: check_name, table_name, column_names, violations.
 
     ``tables`` maps a name to a DataFrame, best to a stored table. All null checks of a table
-    share one scan.
+    share one scan, and so do all its uniqueness checks.
     """
     rules = list(rules)
     results = []
+    keyed: dict[str, list[Rule]] = {}
+    for rule in rules:
+        if rule.check in ("unique", "unique_combination"):
+            keyed.setdefault(rule.table, []).append(rule)
+    for table, same in keyed.items():
+        results.append(_duplicate_counts(table, tables(table), same))
     null_columns: dict[str, list[str]] = {}
     for rule in rules:
         if rule.check == "not_null":
@@ -188,9 +232,7 @@ def run(tables: Tables, rules: Iterable[Rule] = RULES) -> DataFrame:
     for table, columns in null_columns.items():
         results.append(_null_counts(table, tables(table), columns))
     for rule in rules:
-        if rule.check in ("unique", "unique_combination"):
-            results.append(_count_rows(rule, duplicates(tables(rule.table), rule.columns)))
-        elif rule.check == "relationship":
+        if rule.check == "relationship":
             parent, key = rule.parent
             missing = orphans(tables(rule.table), rule.columns[0], tables(parent), key)
             total = F.coalesce(F.sum("n_rows"), F.lit(0))
@@ -198,7 +240,7 @@ def run(tables: Tables, rules: Iterable[Rule] = RULES) -> DataFrame:
         elif rule.check == "accepted_values":
             bad = unaccepted(tables(rule.table), rule.columns[0], rule.values)
             results.append(_count_rows(rule, bad))
-        elif rule.check != "not_null":
+        elif rule.check not in ("not_null", "unique", "unique_combination"):
             raise ValueError(f"unknown check {rule.check}")
     return reduce(DataFrame.unionByName, results)
 

@@ -71,3 +71,25 @@ def test_uncovered_labels_and_missing_keys(spark, given):
     )
     assert quality.missing_keys(dimension, expected).count() == 1
     assert quality.missing_keys(dimension, dimension).count() == 0
+
+
+def test_unique_checks_of_a_table_share_one_scan(tables):
+    rules = [Rule("unique", "child", ("id",)), Rule("unique", "child", ("source",))]
+    rules += [Rule("unique_combination", "child", ("id", "source"))]
+    rules += [Rule("unique_combination", "child", ("id", "label"))]
+    result = quality.run(tables, rules)
+    expected = [("id", 2), ("id,label", 0), ("id,source", 2), ("source", 1)]
+    assert rows(result, "column_names", "violations") == expected
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
+def test_keys_of_several_columns_are_not_mixed_up(spark):
+    pairs = spark.createDataFrame(
+        [("a", None), (None, "a"), ('a","b', None), ("a", "b"), ("", None), (None, None)],
+        "id string, source string",
+    )
+    rule = Rule("unique_combination", "pairs", ("id", "source"))
+    assert rows(quality.run({"pairs": pairs}.__getitem__, [rule]), "violations") == [(0,)]
+    twice = {"pairs": pairs.union(pairs)}.__getitem__
+    assert rows(quality.run(twice, [rule]), "violations") == [(6,)]
