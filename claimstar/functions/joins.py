@@ -1,7 +1,8 @@
 """Join helpers: null-safe keys and skew-splittable joins.
 
 No join is hinted as broadcast. Spark broadcasts a side whose estimated or, in adaptive execution,
-measured size is within ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise.
+measured size is within ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise. Key
+value sets, whose size Spark cannot know where they are derived, are checked by ``bounded``.
 """
 
 from __future__ import annotations
@@ -11,6 +12,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+KEY_ROWS = 10_000  # most rows of a key value set that is taken as small
+
+
+def bounded(frame: DataFrame, name: str, rows: int | None = KEY_ROWS) -> DataFrame:
+    """The frame, proven to be small: a query over more than ``rows`` rows of it fails.
+
+    The rows pass through one array of at most ``rows`` + 1 of them, whose length is checked when
+    the query runs, so that Spark takes the frame as small when it plans a join, whatever it was
+    derived from; large sides are then not shuffled by a few hot labels. With ``rows`` None the
+    frame stays as it is, and Spark decides by its own estimate.
+    """
+    if rows is None:
+        return frame
+    packed = frame.limit(rows + 1).agg(F.collect_list(F.struct("*")).alias("held"))
+    message = F.lit(f"{name} has more than {rows} rows; give a larger key_rows, or None")
+    checked = F.when(F.size("held") <= rows, F.col("held")).otherwise(F.raise_error(message))
+    return packed.select(F.inline(checked))
+
+
+def planned_as_broadcast(frames: Sequence[DataFrame]) -> bool:
+    """Whether Spark estimates each frame within the broadcast threshold; no job runs."""
+    spark = frames[0].sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    plans = [f._jdf.queryExecution().optimizedPlan() for f in frames]
+    return all(p.stats().sizeInBytes() <= limit for p in plans)
+
+
 def left_join_null_safe(
     left: DataFrame, right: DataFrame, plain: Sequence[str], null_safe: Sequence[str]
 ) -> DataFrame:

@@ -15,7 +15,13 @@ from claimstar.functions.columns import (
     safe_int,
     text_key,
 )
-from claimstar.functions.joins import left_join_null_safe, skew_splittable_join
+from claimstar.functions.joins import (
+    KEY_ROWS,
+    bounded,
+    left_join_null_safe,
+    planned_as_broadcast,
+    skew_splittable_join,
+)
 from claimstar.operators.dims import CATEGORY_LEVELS, known_sources
 from claimstar.operators.enrich import RISK_COLUMNS, with_risk
 from claimstar.sources.contracts import CONTRACTS, COST_MEASURES, STAMP
@@ -40,14 +46,20 @@ def _columns(name: str, first: str, last: str) -> list[str]:
 
 
 def encounters(
-    encounter: DataFrame, dim_encounter_group: DataFrame, dim_encounter_type: DataFrame
+    encounter: DataFrame,
+    dim_encounter_group: DataFrame,
+    dim_encounter_type: DataFrame,
+    key_rows: int | None = KEY_ROWS,
 ) -> DataFrame:
     """Claim encounters with a mapped group and a mapped type.
 
-    The group comes from the group label alone; the parent group of the type is not compared.
+    The group comes from the group label alone; the parent group of the type is not compared. Both
+    sets have at most ``key_rows`` rows, so encounters are not shuffled by a handful of labels.
     """
     groups = dim_encounter_group.select("encounter_group", "encounter_group_sk")
+    groups = bounded(groups, "dim_encounter_group", key_rows)
     kinds = dim_encounter_type.select("encounter_type", "encounter_type_sk")
+    kinds = bounded(kinds, "dim_encounter_type", key_rows)
     month = month_of("encounter_start_date")
     return (
         encounter.join(groups, "encounter_group")
@@ -79,10 +91,12 @@ def categorized_claims(
     medical_claim: DataFrame,
     dim_service_category: DataFrame,
     dim_data_source: DataFrame | None = None,
+    key_rows: int | None = KEY_ROWS,
 ) -> DataFrame:
     """Enrolled claim lines of known sources, all of whose category levels are mapped."""
     enrolled = medical_claim.filter(F.col("enrollment_flag") == 1)
     categories = dim_service_category.select("service_category_sk", *CATEGORY_LEVELS)
+    categories = bounded(categories, "dim_service_category", key_rows)
     return known_sources(enrolled, dim_data_source).join(categories, list(CATEGORY_LEVELS))
 
 
@@ -91,6 +105,7 @@ def claims(
     dim_service_category: DataFrame,
     encounter_enrichment: DataFrame,
     dim_data_source: DataFrame | None = None,
+    key_rows: int | None = KEY_ROWS,
 ) -> DataFrame:
     """Enrolled claim lines with encounter, provider, diagnosis and service category.
 
@@ -98,7 +113,9 @@ def claims(
     that owns a large share of the lines is split by adaptive execution.
     """
     month = month_of("claim_start_date")
-    lines = categorized_claims(medical_claim, dim_service_category, dim_data_source)
+    lines = categorized_claims(
+        medical_claim, dim_service_category, dim_data_source, key_rows
+    )
     return skew_splittable_join(lines, encounter_enrichment, ENCOUNTER_KEY).select(
         "medical_claim_id",
         "encounter_id",
@@ -135,6 +152,7 @@ def encounter_service_links(
     dim_service_category: DataFrame,
     fact_encounters: DataFrame,
     dim_data_source: DataFrame | None = None,
+    key_rows: int | None = KEY_ROWS,
 ) -> DataFrame:
     """Encounter to category links of publishable claims, without building the wide fact.
 
@@ -143,7 +161,7 @@ def encounter_service_links(
     encounter shrink to its few categories within each task.
     """
     links = (
-        categorized_claims(medical_claim, dim_service_category, dim_data_source)
+        categorized_claims(medical_claim, dim_service_category, dim_data_source, key_rows)
         .select(*ENCOUNTER_KEY, "service_category_sk")
         .distinct()
     )
@@ -293,9 +311,10 @@ def with_drugs(
 ) -> DataFrame:
     """Pharmacy lines with package, drug and class columns; the drug table wins over the package.
 
-    The tables are joined to the lines one by one. Each then is a plain scan of known size when
-    Spark decides whether to broadcast it; joined to each other first, they would be estimated
-    as their product.
+    Where Spark estimates all three tables within the broadcast threshold, they are joined to the
+    lines one by one, each broadcast, and no line moves. Otherwise they are joined to each other
+    first, and the lines meet one table by one key: they move once, and lines of a hot code, or
+    without a match, are split. The rows are the same either way.
     """
     packages = drug_packages.select(
         F.col("ndc11").alias("ndc_code"),
@@ -306,16 +325,18 @@ def with_drugs(
     normalized = drugs.select(
         "drug_id", "drug_name", F.col("is_brand").cast("string").alias("drug_flag")
     )
-    return (
-        pharmacy_claim.join(packages, "ndc_code", "left")
-        .join(normalized, "drug_id", "left")
-        .join(drug_classes, "drug_id", "left")
-        .withColumns(
-            {
-                "drug_name": F.coalesce("drug_name", "ndc_description"),
-                "is_brand": F.coalesce("drug_flag", "package_flag"),
-            }
-        )
+    if planned_as_broadcast([packages, normalized, drug_classes]):
+        coded = pharmacy_claim.join(packages, "ndc_code", "left")
+        named = coded.join(normalized, "drug_id", "left").join(drug_classes, "drug_id", "left")
+    else:
+        terms = packages.filter("ndc_code is not null").join(normalized, "drug_id", "left")
+        terms = terms.join(drug_classes, "drug_id", "left")
+        named = skew_splittable_join(pharmacy_claim, terms, ["ndc_code"], "left")
+    return named.withColumns(
+        {
+            "drug_name": F.coalesce("drug_name", "ndc_description"),
+            "is_brand": F.coalesce("drug_flag", "package_flag"),
+        }
     )
 
 

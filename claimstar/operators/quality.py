@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimstar.functions.joins import KEY_ROWS, bounded
 from claimstar.operators.dims import CATEGORY_LEVELS, known_sources
 from claimstar.operators.facts import ENCOUNTER_KEY
 
@@ -137,8 +138,9 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 
 
 def unaccepted(frame: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """Distinct non-null values outside the accepted ones."""
-    return frame.select(column).filter(~F.col(column).isin(*values)).distinct()
+    """Distinct non-null values outside the accepted ones, with their number of rows."""
+    others = frame.filter(~F.col(column).isin(*values))
+    return others.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def _result(check: str, table: str, columns: Column, violations: Column) -> list[Column]:
@@ -150,10 +152,9 @@ def _result(check: str, table: str, columns: Column, violations: Column) -> list
     ]
 
 
-def _count_rows(rule: Rule, violations: DataFrame, counter: Column | None = None) -> DataFrame:
-    counted = F.count(F.lit(1)) if counter is None else counter
+def _count_rows(rule: Rule, broken: DataFrame) -> DataFrame:
     names = F.lit(",".join(rule.columns))
-    return violations.agg(*_result(rule.check, rule.table, names, counted))
+    return broken.agg(*_result(rule.check, rule.table, names, F.count(F.lit(1))))
 
 
 def _null_counts(table: str, frame: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -211,11 +212,90 @@ def _duplicate_counts(table: str, frame: DataFrame, rules: Sequence[Rule]) -> Da
     )
 
 
+def _orphan_counts(table: str, frame: DataFrame, rules: Sequence[Rule], tables: Tables) -> DataFrame:
+    """Rows without a parent for several rules in one pass over the table, one result row per rule.
+
+    Child keys are counted as (rule, key) pairs, which shrink in each task before they move, and
+    meet the keys of all parents at once.
+    """
+    keys = F.array(
+        *[
+            F.struct(F.lit(n).alias("rule"), F.col(r.columns[0]).cast("string").alias("key"))
+            for n, r in enumerate(rules)
+        ]
+    )
+    pairs = frame.select(F.explode(keys).alias("pair")).select("pair.*").filter("key is not null")
+    counted = pairs.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    rules_of: dict[tuple[str, str], list[int]] = {}
+    for n, r in enumerate(rules):
+        rules_of.setdefault(r.parent, []).append(n)
+    parents = [
+        tables(parent).select(
+            F.explode(F.array(*map(F.lit, numbers))).alias("rule"),
+            F.col(column).cast("string").alias("key"),
+        )
+        for (parent, column), numbers in rules_of.items()
+    ]
+    missing = counted.join(reduce(DataFrame.union, parents), ["rule", "key"], "left_anti")
+    counts = missing.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(",".join(r.columns)).alias("columns"),
+                    F.coalesce(F.sum(F.when(F.col("rule") == n, F.col("n_rows"))), F.lit(0)).alias(
+                        "violations"
+                    ),
+                )
+                for n, r in enumerate(rules)
+            ]
+        ).alias("counts")
+    )
+    return counts.select(F.explode("counts").alias("c")).select(
+        *_result("relationship", table, F.col("c.columns"), F.col("c.violations"))
+    )
+
+
+def violations(tables: Tables, rule: Rule) -> DataFrame:
+    """What breaks a rule: rows with a null, repeated keys, keys without a parent, other values.
+
+    Keys come with their number of rows, ``n_rows``.
+    """
+    frame = tables(rule.table)
+    if rule.check == "not_null":
+        return frame.filter(F.col(rule.columns[0]).isNull())
+    if rule.check in ("unique", "unique_combination"):
+        return duplicates(frame, rule.columns)
+    if rule.check == "relationship":
+        parent, key = rule.parent
+        return orphans(frame, rule.columns[0], tables(parent), key)
+    if rule.check == "accepted_values":
+        return unaccepted(frame, rule.columns[0], rule.values)
+    raise ValueError(f"unknown check {rule.check}")
+
+
+def violating_keys(tables: Tables, rules: Iterable[Rule]) -> DataFrame:
+    """The violations of several rules in one shape: check_name, table_name, column_names, key, n_rows.
+
+    The key is that of the rule as text, null parts written as \\N; rows with a null come as a number.
+    """
+    found = []
+    for rule in rules:
+        broken = violations(tables, rule)
+        text = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in rule.columns]
+        key = F.concat_ws("|", *text).alias("key")
+        if "n_rows" not in broken.columns:
+            broken = broken.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n_rows"))
+        names = F.lit(",".join(rule.columns)).alias("column_names")
+        label = [F.lit(rule.check).alias("check_name"), F.lit(rule.table).alias("table_name")]
+        found.append(broken.select(*label, names, key, "n_rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def run(tables: Tables, rules: Iterable[Rule] = RULES) -> DataFrame:
     """One row per rule: check_name, table_name, column_names, violations.
 
     ``tables`` maps a name to a DataFrame, best to a stored table. All null checks of a table
-    share one scan, and so do all its uniqueness checks.
+    share one scan, and so do all its uniqueness checks and all its relationships.
     """
     rules = list(rules)
     results = []
@@ -231,16 +311,16 @@ def run(tables: Tables, rules: Iterable[Rule] = RULES) -> DataFrame:
             null_columns.setdefault(rule.table, []).extend(rule.columns)
     for table, columns in null_columns.items():
         results.append(_null_counts(table, tables(table), columns))
+    related: dict[str, list[Rule]] = {}
     for rule in rules:
         if rule.check == "relationship":
-            parent, key = rule.parent
-            missing = orphans(tables(rule.table), rule.columns[0], tables(parent), key)
-            total = F.coalesce(F.sum("n_rows"), F.lit(0))
-            results.append(_count_rows(rule, missing, total))
-        elif rule.check == "accepted_values":
-            bad = unaccepted(tables(rule.table), rule.columns[0], rule.values)
-            results.append(_count_rows(rule, bad))
-        elif rule.check not in ("not_null", "unique", "unique_combination"):
+            related.setdefault(rule.table, []).append(rule)
+    for table, same in related.items():
+        results.append(_orphan_counts(table, tables(table), same, tables))
+    for rule in rules:
+        if rule.check == "accepted_values":
+            results.append(_count_rows(rule, violations(tables, rule)))
+        elif rule.check not in ("not_null", "unique", "unique_combination", "relationship"):
             raise ValueError(f"unknown check {rule.check}")
     return reduce(DataFrame.unionByName, results)
 
@@ -268,6 +348,7 @@ def uncovered_service_categories(
     fact_encounters: DataFrame,
     dim_service_category: DataFrame,
     dim_data_source: DataFrame | None = None,
+    key_rows: int | None = KEY_ROWS,
 ) -> DataFrame:
     """Category combinations of otherwise publishable claims that the dimension lacks.
 
@@ -275,7 +356,7 @@ def uncovered_service_categories(
     shuffled for the test of being publishable.
     """
     levels = list(CATEGORY_LEVELS)
-    mapped = dim_service_category.select(*levels)
+    mapped = bounded(dim_service_category.select(*levels), "dim_service_category", key_rows)
     complete = medical_claim.filter(F.col("enrollment_flag") == 1).dropna(subset=levels)
     unmapped = (
         known_sources(complete, dim_data_source)

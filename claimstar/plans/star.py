@@ -7,7 +7,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimstar.operators import dims, enrich, facts
+from claimstar.functions.joins import KEY_ROWS
+from claimstar.operators import dims, enrich, facts, quality
 from claimstar.sources.inputs import stage
 
 # Published tables in an order in which every table follows the ones it reads.
@@ -43,7 +44,8 @@ class Star:
     """Tables over a set of inputs. Nothing runs until a returned DataFrame is used.
 
     ``stored`` holds tables that were already written; whatever reads them then starts from
-    storage instead of recomputing them.
+    storage instead of recomputing them. ``key_rows`` bounds the value sets of encounter groups,
+    encounter types and service categories (see ``functions.joins.bounded``).
     """
 
     def __init__(
@@ -52,11 +54,13 @@ class Star:
         run_ts: str | None = None,
         specialty_threshold: float = facts.DEFAULT_SPECIALTY_THRESHOLD,
         stored: Mapping[str, DataFrame] | None = None,
+        key_rows: int | None = KEY_ROWS,
     ):
         self.inputs = inputs
         self.run_ts = run_ts or now_utc()
         self.specialty_threshold = specialty_threshold
         self.stored = dict(stored or {})
+        self.key_rows = key_rows
         self._staged: dict[str, DataFrame] = {}
 
     def input(self, name: str) -> DataFrame:
@@ -119,6 +123,7 @@ class Star:
             self.input("encounter"),
             self.table("dim_encounter_group"),
             self.table("dim_encounter_type"),
+            self.key_rows,
         )
 
     def _fact_claims(self) -> DataFrame:
@@ -126,6 +131,7 @@ class Star:
             self.input("medical_claim"),
             self.table("dim_service_category"),
             self.table("encounter_enrichment"),
+            key_rows=self.key_rows,
         )
 
     def _fact_encounter_service_bridge(self) -> DataFrame:
@@ -136,6 +142,7 @@ class Star:
                 self.input("medical_claim"),
                 self.table("dim_service_category"),
                 self.table("fact_encounters"),
+                key_rows=self.key_rows,
             )
         return facts.encounter_service_bridge(links, self.run_ts)
 
@@ -178,24 +185,56 @@ class Star:
         return facts.risk_scores(self.input("risk_scores"))
 
 
+class RulesViolated(Exception):
+    """A built table breaks rules; ``violations`` maps (check, table, columns) to their number."""
+
+    def __init__(self, violations: dict[tuple[str, str, str], int]):
+        super().__init__(", ".join(f"{' '.join(k)}: {n}" for k, n in violations.items()))
+        self.violations = violations
+
+
+def _stop_on_violations(star: Star, rules: Iterable[quality.Rule]) -> None:
+    rules = list(rules)
+    if not rules:
+        return
+
+    def resolve(name: str) -> DataFrame:
+        return star.table(name) if name in TABLES else star.input(name)
+
+    broken = quality.run(resolve, rules).filter("violations > 0").collect()  # a row per rule at most
+    if broken:
+        raise RulesViolated(
+            {(r.check_name, r.table_name, r.column_names): r.violations for r in broken}
+        )
+
+
 def build(
-    spark: SparkSession, star: Star, sink, tables: Iterable[str] = TABLES
+    spark: SparkSession,
+    star: Star,
+    sink,
+    tables: Iterable[str] = TABLES,
+    rules: Iterable[quality.Rule] = (),
 ) -> dict[str, DataFrame]:
     """Rebuild ``tables`` into ``sink`` and return them as read back from it.
 
     Each table is written once and later ones start from the stored copy, so lost executors cost
     at most the tasks of the table at hand. The wanted tables are always computed from the inputs:
     ``star`` itself is not changed, so a build, failed or not, can be repeated with it.
+
+    Of ``rules`` (``quality.RULES``, for instance) those of a stored table run right after it, over
+    the stored copy; the first table that breaks any stops the build with ``RulesViolated``.
     """
     wanted = set(tables)
     unknown = wanted - set(TABLES)
     if unknown:
         raise KeyError(f"not a published table: {sorted(unknown)}")
     kept = {name: frame for name, frame in star.stored.items() if name not in wanted}
-    own = Star(star.inputs, star.run_ts, star.specialty_threshold, kept)
+    own = Star(star.inputs, star.run_ts, star.specialty_threshold, kept, star.key_rows)
+    rules = list(rules)
     for name in TABLES:
         if name in wanted:
             frame = own.table(name)
             sink.write(name, frame)
             own.stored[name] = sink.read(spark, name, frame)
+            _stop_on_violations(own, [r for r in rules if r.table == name])
     return {name: own.stored[name] for name in TABLES if name in wanted}

@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from claimstar.operators.quality import Rule
 from claimstar.sources.contracts import ATTRIBUTION, CONTRACTS, COST_MEASURES
 from claimstar.sources.inputs import PASSES_STAMP, UNSTAMPED
 from claimstar.sources.mapping import MAPPINGS, raw_columns
-from claimstar.sources.testdata import BINDINGS, RAW_BINDINGS, bind_sql
+from claimstar_oracle.binding import BINDINGS, RAW_BINDINGS, bind_sql
 from claimstar_oracle.published import PUBLISHED, kind
+from claimstar_oracle.rules import Rule, rules_of
 
 RUN_TS = "2025-01-01 00:00:00"
 _STAMP = f"cast('{RUN_TS}' as timestamp)"
@@ -408,10 +408,42 @@ def _rule_sql(rule: Rule) -> str:
     )
 
 
-def rules_sql(rules: Iterable[Rule]) -> str:
-    rules = list(rules)
+def _violations_sql(rule: Rule) -> str:
+    keys = ", ".join(f'"{c}"' for c in rule.columns)
+    text = ", ".join(f"coalesce(cast(\"{c}\" as varchar), '\\N')" for c in rule.columns)
+    first = f'"{rule.columns[0]}"'
+    having = ""
+    if rule.check == "not_null":
+        which = f"{first} is null"
+    elif rule.check == "relationship":
+        parent, key = rule.parent
+        which = f"{first} is not null and {first} not in (select {key} from {parent} where {key} is not null)"
+    elif rule.check == "accepted_values":
+        which = f"{first} not in (" + ", ".join(f"'{v}'" for v in rule.values) + ")"
+    else:
+        which = f"{first} is not null" if rule.check == "unique" else "true"
+        having = " having count(*) > 1"
+    return (
+        f"select '{rule.check}' as check_name, '{rule.table}' as table_name,"
+        f" '{','.join(rule.columns)}' as column_names, concat_ws('|', {text}) as key,"
+        f" count(*) as n_rows from {rule.table} where {which} group by {keys}{having}"
+    )
+
+
+def _all_rules(check: str, sql_of) -> str:
+    rules = rules_of(check)
     needs = [name for r in rules for name in (r.table, *(r.parent[:1] if r.parent else ()))]
-    return _with(dict.fromkeys(needs), " union all ".join(_rule_sql(r) for r in rules))
+    return _with(dict.fromkeys(needs), " union all ".join(sql_of(r) for r in rules))
+
+
+def rules_sql(check: str) -> str:
+    """Number of violations of every rule of a kind."""
+    return _all_rules(check, _rule_sql)
+
+
+def violations_sql(check: str) -> str:
+    """The violating keys of every rule of a kind."""
+    return _all_rules(check, _violations_sql)
 
 
 # Whole numbers among the mapped columns.

@@ -4,10 +4,10 @@ import pytest
 from conftest import RUN_TS, SF_DIR
 
 from claimstar.operators import quality
-from claimstar.plans.star import TABLES, Star, build
+from claimstar.plans.star import TABLES, RulesViolated, Star, build
 from claimstar.sources.contracts import CONTRACTS
 from claimstar.sources.sinks import ParquetSink, TableSink
-from claimstar.sources.testdata import BoundInputs
+from claimstar_oracle.binding import BoundInputs
 
 
 def lazy(spark):
@@ -84,6 +84,19 @@ def test_unknown_table_is_refused(spark):
         lazy(spark).table("fact_conditions")
 
 
+def test_a_broken_rule_stops_the_build(spark, tmp_path):
+    names = ["dim_data_source", "dim_encounter_provider", "dim_member"]
+    sink = ParquetSink(str(tmp_path))
+    with pytest.raises(RulesViolated) as stopped:
+        build(spark, lazy(spark), sink, names, quality.RULES)
+    broken = stopped.value.violations
+    assert list(broken) == [("not_null", "dim_encounter_provider", "encounter_id")]
+    assert list(broken.values())[0] > 0
+    assert not (tmp_path / "dim_member").exists()  # what follows is not built
+    kept = [r for r in quality.RULES if r.table != "dim_encounter_provider"]
+    assert list(build(spark, lazy(spark), sink, names, kept)) == names
+
+
 class Breaks:
     """A sink that fails at its second table."""
 

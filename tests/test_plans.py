@@ -4,11 +4,11 @@ import pytest
 from conftest import RUN_TS, SF_DIR
 
 import __spark_entry__ as registry
-from claimstar.functions.joins import left_join_null_safe, skew_splittable_join
+from claimstar.functions.joins import bounded, left_join_null_safe, skew_splittable_join
 from claimstar.operators import dims, facts
 from claimstar.plans.star import INTERMEDIATES, TABLES, Star
 from claimstar.sources.contracts import schema
-from claimstar.sources.testdata import BoundInputs
+from claimstar_oracle.binding import BoundInputs
 
 
 def physical(frame) -> str:
@@ -116,6 +116,65 @@ def test_unused_provider_lookup_is_dropped(spark):
     assert "lineitem" not in keys._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "100KB"])
+def test_key_sets_do_not_shuffle_the_large_sides(spark, settings, threshold):
+    """Encounters never move by their group or type, nor claim lines by their category."""
+    settings({"spark.sql.autoBroadcastJoinThreshold": threshold})
+    for name in ("fact_encounters", "encounter_enrichment", "fact_claims"):
+        plan = physical(Star(BoundInputs(spark, "/root/testdata/sf0.1"), RUN_TS).table(name))
+        assert "BroadcastHashJoin [encounter_group" in plan
+        for line in plan.splitlines():
+            if "Exchange hashpartitioning(encounter_group" in line:
+                assert "o_orderpriority" in line or "encounter_group_sk" in line
+            assert "SortMergeJoin [encounter_" not in line or "encounter_id" in line, line
+            assert "SortMergeJoin [service_category" not in line
+    uncovered = registry.queries()["uncovered_service_categories"](spark, "/root/testdata/sf0.1")
+    assert "SortMergeJoin [service_category" not in physical(uncovered)
+
+
+def test_a_key_set_beyond_its_bound_fails(spark):
+    keys = spark.range(11).selectExpr("cast(id as string) as k", "nullif(id, 3) as v")
+    assert sorted(bounded(keys, "keys", 11).collect(), key=str) == sorted(keys.collect(), key=str)
+    assert bounded(keys, "keys", None) is keys
+    assert bounded(keys.limit(0), "keys", 5).isEmpty()
+    with pytest.raises(Exception, match="keys has more than 10 rows"):
+        bounded(keys, "keys", 10).collect()
+
+
+def test_drug_terminology_meets_the_lines_once_where_it_is_large(spark, settings):
+    star = Star(BoundInputs(spark, SF_DIR), RUN_TS)
+    small = star.table("fact_pharmacy_claims")
+    assert "hashpartitioning(ndc_code" not in physical(small)
+    expected = sorted(small.collect(), key=str)
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    large = Star(BoundInputs(spark, SF_DIR), RUN_TS).table("fact_pharmacy_claims")
+    plan = physical(large)
+    assert plan.count("SortMergeJoin [ndc_code") + plan.count("ShuffledHashJoin [ndc_code") == 1
+    assert sorted(large.collect(), key=str) == expected
+
+
+def test_hot_drugs_and_lines_without_a_match_are_split(spark, settings):
+    settings(SKEWED)
+    lines = spark.range(0, 40_000, 1, 8).selectExpr(
+        "case id % 3 when 0 then 'hot' when 1 then null else 'n' || id % 4000 end as ndc_code",
+        "md5(cast(id as string)) as payload",
+    )
+    packages = spark.range(3000).selectExpr(
+        "if(id = 0, 'hot', 'n' || id) as ndc11",
+        "'d' || id % 50 as drug_id",
+        "'p' || id as drug_name",
+        "id % 2 = 0 as is_brand",
+    )
+    drugs = spark.range(50).selectExpr("'d' || id as drug_id", "'g' || id as drug_name", "true as is_brand")
+    classes = spark.range(40).selectExpr("'d' || id as drug_id", "'a' as atc_1_name")
+    split = facts.with_drugs(lines, packages, drugs, classes)
+    found = sorted(split.collect(), key=str)
+    assert "skew=true" in physical(split) or "skewed" in physical(split)
+    settings({"spark.sql.autoBroadcastJoinThreshold": "10MB"})
+    small = facts.with_drugs(lines, packages, drugs, classes)
+    assert sorted(small.select(*split.columns).collect(), key=str) == found
+
+
 SKEWED = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

@@ -44,6 +44,37 @@ def test_null_checks_of_a_table_share_one_scan(tables):
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
 
 
+def test_relationships_of_a_table_share_one_pass(tables):
+    rules = [Rule("relationship", "child", (c,), parent=("parent", "id")) for c in ("id", "label")]
+    result = quality.run(tables, rules)
+    assert rows(result, "column_names", "violations") == [("id", 2), ("label", 4)]
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 2  # the child and the parent
+
+
+def test_violating_keys_of_every_kind(tables):
+    rules = [
+        Rule("not_null", "child", ("id",)),
+        Rule("unique", "child", ("id",)),
+        Rule("unique_combination", "child", ("id", "source")),
+        Rule("relationship", "child", ("id",), parent=("parent", "id")),
+        Rule("accepted_values", "child", ("label",), values=("x",)),
+    ]
+    found = quality.violating_keys(tables, rules)
+    assert rows(found, "check_name", "column_names", "key", "n_rows") == [
+        ("accepted_values", "label", "y", 1),
+        ("accepted_values", "label", "z", 1),
+        ("not_null", "id", "\\N", 1),
+        ("relationship", "id", "2", 2),
+        ("unique", "id", "1", 2),
+        ("unique", "id", "2", 2),
+        ("unique_combination", "id,source", "1|a", 2),
+        ("unique_combination", "id,source", "2|\\N", 2),
+    ]
+    with pytest.raises(ValueError):
+        quality.violations(tables, Rule("sorted", "child", ("id",)))
+
+
 def test_unknown_check_is_refused(tables):
     with pytest.raises(ValueError):
         quality.run(tables, [Rule("sorted", "child", ("id",))])
