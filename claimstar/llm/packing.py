@@ -125,7 +125,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum("n").over(before), F.lit(0))
     ranks = runs.select("part", "length", earlier.alias("earlier"))
-    ranked = pieces.join(ranks, ["part", "length"]).select(
+    # By shuffle at every size: the rank counts grow with the number of tasks.
+    ranked = pieces.join(ranks.hint("merge"), ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("earlier") + F.col("seq")).alias("rank")
     )
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
