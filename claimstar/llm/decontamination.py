@@ -11,10 +11,15 @@ Items are handled in classes of similar length. In each class:
    It also holds all but the allowed edits of an item's rare words, those in no other item.
    Cumulative counts find all begins that qualify; no passage is lost here.
 2. CGK: item and window walk through their words by the same random bits (step j moves on if the bit
-   of (j, word) is set), which turns few edits into few differing steps.
+   of (j, word) is set), which turns few edits into few differing steps. Long items are cut into
+   parts of about `PART` words, and the walks begin at the parts in turn: with the allowed edits in a
+   whole item, some part has no more than its share, however the edits lie. The windows of a part are
+   those within the allowed edits of its place after a begin that qualifies.
 3. Bit sampling: each of `repetitions` walks has its own bits and `sampled` of its steps as the key.
-   The repetitions follow from the target recall (`tests/llm` measures it).
-4. Verification: exact edit distance of the item to the best passage at the window's begin.
+   The repetitions follow from the target recall at the largest distance, for substituted, deleted
+   and inserted words (`tests/llm` measures it).
+4. Verification: exact edit distance of the item to the best passage at each begin that the window
+   leaves possible.
 
 The benchmark goes to the tasks in blocks of at most `block` items; more items make more passes.
 
@@ -38,6 +43,7 @@ from claimstar.llm import common
 SIMILARITY = 0.8
 REPETITIONS = 32
 SAMPLED = 3
+PART = 8
 BLOCK = 2000
 CLASS_RATIO = 1.08
 BATCH_WORDS = 400_000
@@ -69,7 +75,9 @@ class _Class:
         rares = np.array([int(rare[w].sum()) for _, w in items])
         self.rare_needed = int((rares - self.edits).min())
         self.reach = int((self.sizes + self.edits).max())
-        self.steps = max(SAMPLED, int(1.8 * self.low))
+        parts = max(1 + bool(self.edits.any()), self.low // PART)
+        self.offsets = [i * self.low // parts for i in range(parts)]
+        self.steps = max(SAMPLED, int(1.8 * self.low / parts))
 
 
 def _walk(words: np.ndarray, start: np.ndarray, end: np.ndarray, bits: np.ndarray, steps, among=None):
@@ -152,19 +160,33 @@ class Searcher:
         random = np.random.default_rng([seed, 20260])
         flat, start = c.words.ravel(), np.arange(len(c.words)) * c.high
         tables = []
-        for _ in range(repetitions):
+        for repetition in range(max(repetitions, 2 * len(c.offsets))):
+            offset = c.offsets[repetition % len(c.offsets)]
             bits = random.integers(0, 2, (c.steps, 1024), np.int8).astype(bool)
             edge = np.linspace(c.steps // 6, c.steps, SAMPLED).astype(int)  # an early one stops most
             steps = [int(random.integers(a, b)) for a, b in zip([0, *edge], [max(1, edge[0]), *edge[1:]])]
-            _, seen = _walk(flat, start, start + c.sizes, bits, steps)
+            _, seen = _walk(flat, start + offset, start + c.sizes, bits, steps)
             among = np.zeros((SAMPLED, len(c.mine) + 1), bool)  # the last place is that of -1
             for places, word in zip(among, seen):
                 places[word] = True
             key = _mixed(seen)
             order = np.argsort(key, kind="stable")
-            tables.append((bits, steps, among, key[order], order))
+            tables.append((offset, bits, steps, among, key[order], order))
         return tables
 
+    @staticmethod
+    def _near(begins: np.ndarray, offset: int, edits: int, last: int) -> np.ndarray:
+        """The places up to `last` that are at most `edits` from `offset` after a begin, each once."""
+        low, high = begins + offset - edits, begins + offset + edits + 1
+        low[1:] = np.maximum(low[1:], high[:-1])
+        low, high = np.clip(low, 0, last + 1), np.clip(high, 0, last + 1)
+        return Searcher._runs(low, high - low)
+
+    @staticmethod
+    def _runs(low: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """low, low + 1, ..., of each n numbers, one after another."""
+        return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - low, n)
+
     def find(self, documents: list[list[bytes]]) -> Iterator[tuple[int, int, int, int, int]]:
         """(document, item id, first word, distance, words of the item), the best place of each."""
         sizes = np.fromiter(map(len, documents), np.int64, len(documents))
@@ -199,16 +221,27 @@ class Searcher:
         return begins[count[far] - count[begins] >= needed]
 
     def _verified(self, c, tables, flat, begin, doc, ends, sizes):
-        end = np.minimum(begin + c.high, ends[doc])
+        most = int(c.edits.max())
+        windows = {}
+        for offset in c.offsets:
+            at = self._near(begin, offset, most, len(flat) - 1) if offset else begin
+            limit = ends[np.searchsorted(ends, at, side="right")]
+            windows[offset] = at, np.minimum(at + c.high - offset, limit)
         pairs = []
-        for bits, steps, among, key, order in tables:
-            row, seen = _walk(flat, begin, end, bits, steps, among)
+        for offset, bits, steps, among, key, order in tables:
+            at, end = windows[offset]
+            row, seen = _walk(flat, at, end, bits, steps, among)
             mine = _mixed(seen)
             low = np.searchsorted(key, mine)
             n = np.searchsorted(key, mine, side="right") - low
+            item = order[self._runs(low, n)]
             window = np.repeat(row, n)
-            place = np.arange(len(window)) - np.repeat(np.cumsum(n) - n - low, n)
-            pairs.append(window * len(key) + order[place])
+            if offset:  # all begins that the item's edits before the part allow
+                place, far = at[window] - offset, c.edits[item]
+                low = np.searchsorted(begin, place - far)
+                n = np.searchsorted(begin, place + far, side="right") - low
+                window, item = self._runs(low, n), np.repeat(item, n)
+            pairs.append(np.unique(window * len(key) + item))
         pairs = np.unique(np.concatenate(pairs))
         width = c.high + int(c.edits.max())
         best: dict[tuple[int, int], tuple[int, int]] = {}
