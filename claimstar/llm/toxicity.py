@@ -1,14 +1,16 @@
 """Toxicity by multiple-instance learning: sentences combined by noisy-or, trained on documents.
 
-A document is a bag of sentences. A sentence has the probability sigmoid(bias + sum of the weights
-of its words' features); a document is toxic unless none of its sentences is:
-1 - product(1 - p). Gradients of the document label's likelihood reach the sentences through that
-product, so the model learns which sentences offend without ever seeing a labelled sentence.
+A document is a bag of sentences. With z the sum of the weights of its words' features, a sentence
+is clean with probability (1 - sigmoid(bias + z)) / (1 - sigmoid(bias)), at most 1: sentences without
+evidence say nothing, however many there are. A document is toxic unless none of its sentences is and
+one leak per document, for what no feature explains, does not apply: 1 - (1 - leak) * product(1 - p).
+Gradients of the document label's likelihood reach the sentences through that product, so the model
+learns which sentences offend without ever seeing a labelled sentence.
 
 A word's features are the word and its prefixes and suffixes of a few lengths, lower case; those
 that more toxic documents hold than chance allows enter the fit. It uses at most `SAMPLE_ROWS` labelled documents outside the held-out bucket (those of least id hash). Scoring reads every whole text.
 
-Nulls: a null or empty text is one sentence without words, scored by the bias. Documents without
+Nulls: a null or empty text has no sentence and is scored by the leak. Documents without
 labels, or an empty label table, are scored all the same (score 0 if nothing could be learnt). Rows
 of equal doc_id are scored one by one.
 """
@@ -31,6 +33,7 @@ MIN_DOCUMENTS = 4
 EVIDENCE = 4.0  # standard deviations above the share that chance gives
 AFFIXES = (4, 5)
 THRESHOLD = 0.3
+BIAS = -8.5
 HELD_OUT = (4, 2)  # modulus and remainder of crc32(doc_id as text)
 ROUNDS = 150
 REMEMBERED = 100_000
@@ -49,15 +52,22 @@ def features(word: str) -> list[tuple[str, int, str]]:
     return out
 
 
+def _evidence(logits: np.ndarray, bias: float) -> np.ndarray:
+    """-log(1 - p) of sentences: none where the weights add up to nothing or less."""
+    return np.maximum(np.logaddexp(0.0, logits) - np.logaddexp(0.0, bias), 0.0)
+
+
 class MilModel:
-    """Weights by feature and the bias; scores sentences and documents."""
+    """Weights by feature, the sentences' bias and the documents' leak (a logit); scores both."""
 
-    def __init__(self, weights: dict[tuple[str, int, str], float], bias: float) -> None:
-        self.weights, self.bias = weights, bias
+    def __init__(
+        self, weights: dict[tuple[str, int, str], float], bias: float = BIAS, leak: float = -30.0
+    ) -> None:
+        self.weights, self.bias, self.leak = weights, bias, leak
         self._forget()
 
     def __getstate__(self):
-        return self.weights, self.bias
+        return self.weights, self.bias, self.leak
 
     def __setstate__(self, state) -> None:
         self.__init__(*state)
@@ -99,26 +109,25 @@ class MilModel:
         return self.bias + np.add.reduceat(value, begins)
 
     def score(self, text: str | None) -> float:
-        """1 - product(1 - p) over the sentences."""
-        return float(-np.expm1(-np.logaddexp(0.0, self.logits(text)).sum()))
+        """1 - (1 - leak) * product(1 - p) over the sentences."""
+        return float(-np.expm1(-np.logaddexp(0.0, self.leak) - _evidence(self.logits(text), self.bias).sum()))
 
     def spans(self, text: str | None, threshold: float = THRESHOLD) -> list[tuple[int, int, float]]:
         """Where the sentences of at least that probability lie, in code points."""
         found, begin = [], 0
         text = text or ""
         for end in [*(m.start() for m in _END.finditer(text)), len(text)]:
-            p = 1 / (1 + np.exp(-self.logits(text[begin:end]).max()))
+            p = -np.expm1(-_evidence(self.logits(text[begin:end]), self.bias).max())
             if p >= threshold:
                 found.append((begin, end, float(p)))
             begin = end
         return found
 
 
-def _screened(texts: list[str | None], y: np.ndarray) -> tuple[set, np.ndarray]:
-    """Features that more toxic documents hold than chance allows, and sentences per document."""
+def _screened(texts: list[str | None], y: np.ndarray) -> set:
+    """Features that more toxic documents hold than chance allows."""
     documents: dict[tuple, int] = {}
     toxic: dict[tuple, int] = {}
-    sentences = np.ones(len(texts), np.int64)
     known: dict[str, list] = {}
     for d, text in enumerate(texts):
         tokens = _TOKENS((text or "").lower())
@@ -128,8 +137,6 @@ def _screened(texts: list[str | None], y: np.ndarray) -> tuple[set, np.ndarray]:
                 if token not in known:
                     known[token] = features(token)
                 held.update(known[token])
-        ends = [t[0] in _ENDS for t in tokens]
-        sentences[d] = max(1, sum(not e and (i == 0 or ends[i - 1]) for i, e in enumerate(ends)))
         for f in held:
             documents[f] = documents.get(f, 0) + 1
             if y[d]:
@@ -140,17 +147,17 @@ def _screened(texts: list[str | None], y: np.ndarray) -> tuple[set, np.ndarray]:
         n = documents[f]
         if n >= MIN_DOCUMENTS and k - n * rate > EVIDENCE * np.sqrt(n * rate * (1 - rate)):
             kept.add(f)
-    return kept, sentences
+    return kept
 
 
 def fit(texts: list[str | None], labels: list[int]) -> MilModel:
     """Adam on the noisy-or likelihood over the screened features, with a pull towards zero."""
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
-        return MilModel({}, -30.0)
-    kept, sentences = _screened(texts, y)
+        return MilModel({})
+    kept = _screened(texts, y)
     number = {f: i for i, f in enumerate(sorted(kept))}
-    rows, columns, owner = [], [], []  # sentences that hold a kept feature; the others share the bias
+    rows, columns, owner = [], [], []  # sentences that hold a kept feature
     held_by: dict[str, list[int]] = {}
     for d, text in enumerate(texts):
         at = None
@@ -167,26 +174,24 @@ def fit(texts: list[str | None], labels: list[int]) -> MilModel:
                 rows += [at] * len(held_by[token])
                 columns += held_by[token]
     row, column, owned = (np.array(x, np.int64) for x in (rows, columns, owner))
-    plain = sentences - np.bincount(owned, minlength=len(y))
     n = len(number)
-    weight, bias = np.zeros(n), float(np.log(y.mean() / (1 - y.mean())) - np.log(sentences.mean()))
-    m, v, mb, vb = np.zeros(n), np.zeros(n), 0.0, 0.0
+    weight, leak = np.zeros(n), float(np.log(y.mean() / (1 - y.mean())))
+    m, v, ml, vl = np.zeros(n), np.zeros(n), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
-        z = bias + np.bincount(row, weight[column], minlength=len(owned))
-        none = plain * np.logaddexp(0.0, bias)
-        none = none + np.bincount(owned, np.logaddexp(0.0, z), minlength=len(y))
+        z = BIAS + np.bincount(row, weight[column], minlength=len(owned))
+        none = np.logaddexp(0.0, leak) + np.bincount(owned, _evidence(z, BIAS), minlength=len(y))
         clean = np.exp(-none)
         pull = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), 1.0) / len(y)
-        slope = pull[owned] * np.exp(-np.logaddexp(0.0, -z))
+        slope = np.where(z >= BIAS, pull[owned] * np.exp(-np.logaddexp(0.0, -z)), 0.0)
         g = np.bincount(column, slope[row], minlength=n) + 1e-4 * np.sign(weight) + 1e-5 * weight
-        gb = slope.sum() + (pull * plain).sum() * np.exp(-np.logaddexp(0.0, -bias))
+        gl = pull.sum() * np.exp(-np.logaddexp(0.0, -leak))
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
+        ml, vl = 0.9 * ml + 0.1 * gl, 0.99 * vl + 0.01 * gl * gl
         rate = 0.15 * (1 - step / (ROUNDS + 1)) + 0.005
         weight -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        bias -= rate * (mb / (1 - 0.9**step)) / (np.sqrt(vb / (1 - 0.99**step)) + 1e-8)
+        leak -= rate * (ml / (1 - 0.9**step)) / (np.sqrt(vl / (1 - 0.99**step)) + 1e-8)
     strong = {f: float(weight[i]) for f, i in number.items() if abs(weight[i]) > 0.05}
-    return MilModel(strong, float(bias))
+    return MilModel(strong, BIAS, float(leak))
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> MilModel:
