@@ -50,6 +50,16 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     )
 
 
+def row_key() -> Column:
+    """A number of the row: the hash of its id and text, null or not; equal rows share it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """The columns (doc_id, text, row), for stages whose findings go back to the rows."""
+    return texts(docs).withColumn("row", row_key())
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, rows: int
 ) -> DataFrame:

@@ -48,7 +48,7 @@ BLOCK = 2000
 CLASS_RATIO = 1.08
 BATCH_WORDS = 400_000
 
-FOUND = "doc_id long, item_id long, start_word long, distance long, item_words long"
+FOUND = "doc_id long, item_id long, start_word long, distance long, item_words long, row long"
 
 _BLANK = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
@@ -265,14 +265,15 @@ def _search(items: list[tuple[int, str]], similarity: float, repetitions: int):
         searcher = Searcher(items, similarity, repetitions)
 
         def found(names: list, documents: list) -> pa.RecordBatch:
-            rows = [(names[d], *rest) for d, *rest in searcher.find(documents)]
-            columns = zip(*rows) if rows else [[]] * 5
+            rows = [(names[d][0], *rest, names[d][1]) for d, *rest in searcher.find(documents)]
+            columns = zip(*rows) if rows else [[]] * 6
             arrays = [pa.array(x, pa.int64()) for x in columns]
             return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in FOUND.split(", ")])
 
         for batch in batches:
             names, documents, size = [], [], 0
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+            for name, text in zip(ids, batch.column(1)):
                 documents.append(words(text.as_py()))
                 names.append(name)
                 size += len(documents[-1])
@@ -296,7 +297,7 @@ def leaks(
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     items = items.where("item_id is not null and text is not null").distinct()
     passes = -(-items.count() // block) or 1
-    plain = common.texts(docs)
+    plain = common.keyed(docs)
     found = None
     for one in range(passes):
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == one).collect()
@@ -306,11 +307,12 @@ def leaks(
 
 
 def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents that hold no item; rows without an id all stay."""
-    ids = common.stored(found.select("doc_id").where("doc_id is not null").distinct(), "leaking")
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+    """The rows whose text holds no item, with or without an id and whatever rows share it."""
+    leaking = common.stored(found.select(F.col("row").alias("claimstar_row")).distinct(), "leaking")
+    rows = docs.withColumn("claimstar_row", common.row_key())
+    return rows.join(leaking, "claimstar_row", "left_anti").select(*docs.columns)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    return leaks(docs, common.table(spark, sf_dir, "benchmark"))
+    return leaks(docs, common.table(spark, sf_dir, "benchmark")).drop("row")

@@ -61,18 +61,19 @@ NUMBERS = (
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, begin, secret, before, after: every run of key characters and the text around it."""
-    plain = common.texts(docs).where(F.col("text").rlike(_RUN))
+    """doc_id, row, begin, secret, before, after: every run of key characters and the text around it."""
+    plain = common.keyed(docs).where(F.col("text").rlike(_RUN))
     marked = F.regexp_replace(F.translate("text", _MARK, " "), f"({_RUN})", f"{_MARK}$1{_MARK}")
-    pieces = plain.select("doc_id", F.split(marked, _MARK).alias("p"))
+    pieces = plain.select("doc_id", "row", F.split(marked, _MARK).alias("p"))
     ends = F.aggregate(
         F.transform("p", F.length),
         F.array(F.lit(0)),
         lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)),
     )
-    found = pieces.select("doc_id", "p", ends.alias("ends"))
+    found = pieces.select("doc_id", "row", "p", ends.alias("ends"))
     found = found.select(
         "doc_id",
+        "row",
         F.explode(
             F.transform(
                 F.sequence(F.lit(1), F.size("p") - 2, F.lit(2)),
@@ -85,7 +86,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             )
         ).alias("c"),
     )
-    return found.select("doc_id", "c.*")
+    return found.select("doc_id", "row", "c.*")
 
 
 def dictionary(docs: DataFrame, words: int = DICTIONARY) -> list[str]:
@@ -169,7 +170,7 @@ def train(labelled: DataFrame, rows: int = LABELLED_ROWS) -> PipelineModel | Non
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """doc_id, begin, end, secret, probability of every finding that the forest leaves standing.
+    """doc_id, begin, end, secret, probability, row of every finding that the forest leaves standing.
 
     `labelled` may bring findings of the same columns with labels of one's own.
     """
@@ -183,22 +184,27 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
         sure = model.transform(found).withColumn("probability", share)
         sure = sure.where(F.col("probability") >= THRESHOLD)
     end = (F.col("begin") + F.length("secret")).alias("end")
-    return sure.select("doc_id", "begin", end, "secret", "probability")
+    return sure.select("doc_id", "begin", end, "secret", "probability", "row")
 
 
-def redacted(docs: DataFrame, findings: DataFrame) -> DataFrame:
+def redacted(docs: DataFrame, findings: DataFrame, by: str = "doc_id") -> DataFrame:
     """The documents with every finding's text replaced by a mask and n_chars counted anew.
 
-    Findings belong to documents by id, so rows without an id stay as they are.
+    Findings belong to documents by id, and rows without an id stay as they are; by "row", as `scan`
+    gives it, they belong to the rows they were found in, with or without an id.
     """
-    by_doc = findings.where("doc_id is not null").groupBy("doc_id")
+    if by not in ("doc_id", "row"):
+        raise ValueError("findings belong to documents by doc_id or by row")
+    key = common.row_key() if by == "row" else F.col("doc_id")
+    named = findings.where(F.col(by).isNotNull()).withColumn("claimstar_key", F.col(by))
+    by_doc = named.groupBy("claimstar_key")
     lists = by_doc.agg(F.sort_array(F.collect_set("secret"), asc=False).alias("claimstar_secrets"))
     lists = common.stored(lists, "secrets-by-document")
     masked = F.aggregate(
         "claimstar_secrets", F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK))
     )
     text = F.when(F.col("claimstar_secrets").isNull(), F.col("text")).otherwise(masked)
-    out = docs.join(lists, "doc_id", "left").withColumn("text", text)
+    out = docs.withColumn("claimstar_key", key).join(lists, "claimstar_key", "left").withColumn("text", text)
     if "n_chars" in docs.columns:
         changed = F.col("claimstar_secrets").isNotNull()
         kept = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -207,4 +213,4 @@ def redacted(docs: DataFrame, findings: DataFrame) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(common.table(spark, sf_dir, "documents"))
+    return scan(common.table(spark, sf_dir, "documents")).drop("row")

@@ -16,7 +16,7 @@ are complete. Components come from alternating large-star and small-star steps o
 
 Nulls: a null text is an empty one and has fingerprint zero, linked like any other; a null doc_id
 takes part and is never a component's id unless all its ids are null. Rows of equal doc_id are
-documents of their own. An empty table gives an empty result.
+documents of their own, known by the hash of id and text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -151,7 +151,8 @@ def _fingerprints(shingle: int):
         for batch in batches:
             prints = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
             signed = np.array(prints, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], ["doc_id", "print"])
+            columns = [batch.column(0), pa.array(signed), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "print", "row"])
 
     return run
 
@@ -215,30 +216,34 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """doc_id, print (signed), component_id of every document."""
-    found = common.texts(docs).mapInArrow(_fingerprints(shingle), "doc_id long, print long")
+    """doc_id, print (signed), component_id of every document; row and that of its representative."""
+    fields = "doc_id long, print long, row long"
+    found = common.keyed(docs).mapInArrow(_fingerprints(shingle), fields)
     found = common.stored(found, "prints")
-    prints = found.groupBy("print").agg(F.min("doc_id").alias("first"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row"))
+    prints = found.groupBy("print").agg(least.alias("first"))
     prints = common.stored(prints, "distinct-prints")
     spread = prints.select("print").repartition(common.partitions(docs.sparkSession))
     joined = components(links(spread, max_bits))
     root = prints.join(joined.toDF("print", "root"), "print", "left")
     root = root.select("print", "first", F.coalesce("root", "print").alias("root"))
-    named = root.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = common.stored(root.join(named, "root").select("print", "component_id"), "components")
-    return found.join(named, "print").select("doc_id", "print", "component_id")
+    named = root.groupBy("root").agg(F.min("first").alias("least"))
+    ids = (F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("component_row"))
+    named = common.stored(root.join(named, "root").select("print", *ids), "components")
+    return found.join(named, "print").select("doc_id", "print", "component_id", "row", "component_row")
 
 
 def representatives(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The documents whose id is their component's, one row each; rows without an id all stay."""
-    keep = groups.where(F.col("doc_id") == F.col("component_id"))
-    keep = common.stored(keep.groupBy("doc_id").agg(F.count("*").alias("n")), "kept-ids")
-    ids, twice = keep.where("n = 1").select("doc_id"), keep.where("n > 1").select("doc_id")
-    # By shuffle at every size: the kept ids grow with the corpus, and the plan shall not change.
-    once = docs.join(ids.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
-    repeated = docs.join(twice, "doc_id", "left_semi").select(*docs.columns)
-    nameless = docs.where(F.col("doc_id").isNull())
-    return once.union(repeated.dropDuplicates(["doc_id"])).union(nameless)
+    """One row of each component: that of its least id, whatever other rows share the id."""
+    keep = groups.where(F.col("row") == F.col("component_row"))
+    keep = common.stored(keep.groupBy("row").agg(F.count("*").alias("n")), "kept-rows")
+    keep = keep.withColumnRenamed("row", "claimstar_row")
+    ids, twice = keep.where("n = 1").select("claimstar_row"), keep.where("n > 1").select("claimstar_row")
+    rows = docs.withColumn("claimstar_row", common.row_key())
+    # By shuffle at every size: the kept rows grow with the corpus, and the plan shall not change.
+    once = rows.join(ids.hint("merge"), "claimstar_row", "left_semi")
+    repeated = rows.join(twice, "claimstar_row", "left_semi").dropDuplicates(["claimstar_row"])
+    return once.select(*docs.columns).union(repeated.select(*docs.columns))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
