@@ -2,13 +2,15 @@
 
 DataFrame functions and Spark ML only; no Python runs on the executors.
 
-Candidates are runs of at least `MIN_LENGTH` key characters. Each gets its place and the text around
+Candidates are runs of at least `MIN_LENGTH` key characters and, of any length, the values assigned to
+names that hold a credential word. Each gets its place and the text around
 it, and numbers: length, shares of character classes, transitions between classes, distinct
 characters, how far it is covered by the corpus's commonest words (the dictionary, counted over all
 documents), signs of a path or address, and its neighbouring words. A forest trained on labelled
 findings decides. Where no findings have been labelled by hand, `rule_labels` labels the clear cases:
 providers' key forms and assignments to credential words against plain words, plain numbers, paths
-and addresses; the rest is left to the forest. The fit uses at most `LABELLED_ROWS` findings of each
+and addresses; the rest, passwords in addresses and parts of dotted tokens among it, is left to the
+forest. The fit uses at most `LABELLED_ROWS` findings of each
 label (those of least hash).
 
 Nulls: a null or empty text has no candidates; a null doc_id keeps its findings under null. Rows of
@@ -18,6 +20,8 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -34,6 +38,7 @@ TREES = 20
 DEPTH = 6
 THRESHOLD = 0.5
 MASK = "[secret]"
+AROUND = 40  # pieces that hold the text around a candidate
 
 # Forms of keys that providers publish, and words that name credentials.
 PROVIDERS = (
@@ -49,7 +54,10 @@ PROVIDERS = (
 CREDENTIALS = "(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key|bearer)"
 _ASSIGNED = CREDENTIALS + "[\\w-]*[\"']?\\s*(=|:|=>|:=|\\s)\\s*[\"']?$"
 
-_RUN = "[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_LENGTH
+_RUN = "[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=\"'-]))?" % MIN_LENGTH  # not the = of an assignment
+_NAME = "[\\w-]{0,64}" + re.sub(r"\((?!\?)", "(?:", CREDENTIALS) + "[\\w-]*"
+_VALUE = "[^\\s\"',;<>]*[^\\s\"',;<>.)\\]}]"
+_FORM = f"({_NAME})([\"']?\\s*(?::=|=>|=|:)\\s*[\"']?)({_VALUE})|({_RUN})"
 _MARK = "\u0001"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _CLASSES = (_LOWER + _LOWER.upper() + "0123456789+/_-=", "a" * 26 + "A" * 26 + "0" * 10 + "-----")
@@ -61,16 +69,36 @@ NUMBERS = (
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, row, begin, secret, before, after: every run of key characters and the text around it."""
-    plain = common.keyed(docs).where(F.col("text").rlike(_RUN))
-    marked = F.regexp_replace(F.translate("text", _MARK, " "), f"({_RUN})", f"{_MARK}$1{_MARK}")
+    """doc_id, row, begin, secret, before, after: every candidate and the text around it.
+
+    The marked text falls into gap, name, separator, value or run, gap, and so on; a run without a
+    name has an empty one. Names are candidates where they are runs themselves.
+    """
+    plain = common.keyed(docs).where(F.col("text").rlike(_FORM))
+    form = f"{_MARK}$1{_MARK}$2{_MARK}$3$4{_MARK}"
+    marked = F.regexp_replace(F.translate("text", _MARK, " "), F.lit(_FORM), F.lit(form))
     pieces = plain.select("doc_id", "row", F.split(marked, _MARK).alias("p"))
     ends = F.aggregate(
         F.transform("p", F.length),
         F.array(F.lit(0)),
         lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)),
     )
-    found = pieces.select("doc_id", "row", "p", ends.alias("ends"))
+    found = pieces.select(
+        "doc_id",
+        "row",
+        "p",
+        ends.alias("ends"),
+        F.transform("p", lambda x: F.substring(x, -60, 60)).alias("heads"),
+        F.transform("p", lambda x: F.substring(x, 1, 40)).alias("tails"),
+    )
+
+    def before(i: Column) -> Column:
+        n = F.least(i, F.lit(AROUND))
+        return F.substring(F.array_join(F.slice("heads", i - n + 1, n), ""), -60, 60)
+
+    def after(i: Column) -> Column:
+        return F.substring(F.array_join(F.slice("tails", i + 2, F.lit(AROUND)), ""), 1, 40)
+
     found = found.select(
         "doc_id",
         "row",
@@ -80,13 +108,15 @@ def candidates(docs: DataFrame) -> DataFrame:
                 lambda i: F.struct(
                     F.get("ends", i).alias("begin"),
                     F.get("p", i).alias("secret"),
-                    F.substring(F.get("p", i - 1), -60, 60).alias("before"),
-                    F.substring(F.get("p", i + 1), 1, 40).alias("after"),
+                    before(i).alias("before"),
+                    after(i).alias("after"),
+                    (i % 4 == 1).alias("name"),
                 ),
             )
         ).alias("c"),
     )
-    return found.select("doc_id", "row", "c.*")
+    kept = F.when(F.col("c.name"), F.col("c.secret").rlike(f"^{_RUN}$")).otherwise(F.col("c.secret") != "")
+    return found.where(kept).select("doc_id", "row", "c.begin", "c.secret", "c.before", "c.after")
 
 
 def dictionary(docs: DataFrame, words: int = DICTIONARY) -> list[str]:
@@ -147,7 +177,9 @@ def rule_labels(found: DataFrame) -> DataFrame:
     digit = F.col("secret").rlike("[0-9]")
     assigned = F.col("before").rlike(_ASSIGNED) & digit & ~F.col("secret").rlike("^[0-9]+$")
     plain = ~digit | F.col("secret").rlike("^[0-9-]+$") | (F.col("address") > 0) | (F.col("slashes") > 2)
-    label = F.when(provider | assigned, 1.0).when(plain, 0.0)
+    password = F.col("before").rlike("://[^\\s/@]*$") & F.col("after").rlike("^[^\\s/]*@")
+    dotted = F.col("before").rlike("[0-9A-Za-z_-]{%d,}\\.$" % MIN_LENGTH)
+    label = F.when(provider | assigned, 1.0).when(plain & ~password & ~dotted, 0.0)
     return found.withColumn("label", label)
 
 
