@@ -19,6 +19,7 @@ _MODULES = {
     "op10_decontamination": "decontamination",
     "op5_wavelet": "wavelet",
     "op9_packing": "packing",
+    "op11_runs": "runs",
 }
 
 Query = Callable[[SparkSession, str], DataFrame]
