@@ -20,6 +20,7 @@ _MODULES = {
     "op5_wavelet": "wavelet",
     "op9_packing": "packing",
     "op11_runs": "runs",
+    "op12_merkle": "merkle",
 }
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -22,9 +22,10 @@ COLUMNS = {
     "op9_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op10_decontamination": "doc_id item_id distance",
     "op11_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op12_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
     "pipeline": "doc_id piece start length ids_crc32 sequence_id offset",
 }
-PER_DOCUMENT = ("op1", "op2", "op3", "op5", "op6", "op8", "op11")
+PER_DOCUMENT = ("op1", "op2", "op3", "op5", "op6", "op8", "op11", "op12")
 
 
 def test_every_query_is_listed():
