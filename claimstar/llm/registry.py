@@ -21,6 +21,7 @@ _MODULES = {
     "op9_packing": "packing",
     "op11_runs": "runs",
     "op12_merkle": "merkle",
+    "op13_chat": "chat",
 }
 
 Query = Callable[[SparkSession, str], DataFrame]

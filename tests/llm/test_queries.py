@@ -23,6 +23,7 @@ COLUMNS = {
     "op10_decontamination": "doc_id item_id distance",
     "op11_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
     "op12_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op13_chat": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "pipeline": "doc_id piece start length ids_crc32 sequence_id offset",
 }
 PER_DOCUMENT = ("op1", "op2", "op3", "op5", "op6", "op8", "op11", "op12")
