@@ -4,7 +4,9 @@ Texts are cut at places that no pre-token of the vocabulary's pattern crosses: b
 after letters before a full stop or comma, and after a lone line feed. Pieces are looked up by a
 64-bit polynomial hash (numpy, whole batches at once); the library encodes those not seen before.
 Texts with white space other than space and line feed, or with the text of a special token, for
-which the cuts are not proven, go to the library whole.
+which the cuts are not proven, go to the library whole. Texts beyond `BATCH_BYTES` are worked off in
+stretches of about that size, so neither the table of pieces nor the library's own memory grows with
+the length of a text.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ BATCH_BYTES = 1 << 20
 # Bytes that can begin white space other than space and line feed.
 _SUSPECT = re.compile(rb"[\t\x0b-\r\x1c-\x1f\xc2\xe1-\xe3]").search
 _ODD_SPACE = re.compile(r"[^\S \n]").search
+_BETWEEN_WORDS = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])").search  # a pre-token begins here in any text
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -65,6 +68,19 @@ def cuts(data: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
+def stretches(raw: bytes, size: int) -> Iterator[bytes]:
+    """The bytes of a text in stretches of whole pieces, of `size` bytes or one longer piece."""
+    at, wide = 0, size
+    while len(raw) - at > wide:
+        cut = int(cuts(np.frombuffer(raw, np.uint8, wide, at), np.zeros(1, int))[-1])
+        if cut:
+            yield raw[at : at + cut]
+            at, wide = at + cut, size
+        else:
+            wide *= 2
+    yield raw[at:]
+
+
 class Encoder:
     """Ids of texts. `cached` bounds the pieces remembered; beyond it the memory starts afresh."""
 
@@ -181,6 +197,28 @@ class Encoder:
         special = any(t in text for t in self.added)
         return special or bool(_SUSPECT(raw) and _ODD_SPACE(text))
 
+    def _by_library(self, text: str) -> np.ndarray:
+        """Ids of a text and the end id, all from the library, about a batch at a time."""
+        ids: list[np.ndarray] = []
+        at = 0
+        while at < len(text):
+            space = _BETWEEN_WORDS(text, at + BATCH_BYTES)
+            end = space.start() if space else len(text)
+            found = self.tokenizer.encode(text[at:end], add_special_tokens=False).ids
+            ids.append(np.array(found, np.uint32))
+            at = end
+        return np.concatenate([*ids, np.array([END], np.uint32)])
+
+    def _long(self, raw: bytes) -> np.ndarray:
+        """Ids of a text beyond a batch, and the end id."""
+        parts = []
+        for part in stretches(raw, BATCH_BYTES):
+            if len(part) > 2 * BATCH_BYTES:  # hardly any place to cut it
+                parts.append(self._by_library(part.decode())[:-1])
+            else:
+                parts.append(self._plain([part])[0][:-1])
+        return np.concatenate([*parts, np.array([END], np.uint32)])
+
     def encode_many(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
         """Each text's ids and the end id, in the order given."""
         held: list[bytes] = []
@@ -192,12 +230,12 @@ class Encoder:
 
         for text in texts:
             raw = (text or "").encode()
-            if self._odd(raw, text or ""):
+            odd = self._odd(raw, text or "")
+            if odd or len(raw) > BATCH_BYTES:
                 if held:
                     yield from flush()
                     held, size = [], 0
-                whole = self.tokenizer.encode(text, add_special_tokens=False).ids
-                yield np.array([*whole, END], np.uint32)
+                yield self._by_library(text) if odd else self._long(raw)
                 continue
             if held and size + len(raw) > BATCH_BYTES:
                 yield from flush()
