@@ -4,7 +4,9 @@ Offset-aligned masks. A conversation is rendered whole: every turn is `<|im_star
 `<|im_sep|>` text `<|im_end|>`, and the spans of the texts are noted. The string is encoded once, with
 the characters that each token covers; the tokens of a text are those between the places of its span
 among the tokens' ends and begins, found by binary search. The three marks are tokens of their own,
-so no token lies across the edge of a text, and the mask covers each text exactly.
+so no token lies across the edge of a text, and the mask covers each text exactly. What lies between
+marks is encoded by `bpe`; a byte-level token stands for a fixed number of bytes, which gives the
+offsets of all tokens by sums. Ids and offsets are those that the library gives for the whole string.
 
 Control strings inside roles and texts, these marks and those of other templates (`CONTROLS`), get
 one more backslash after their first character, whatever number they have; taking one away gives the
@@ -24,10 +26,8 @@ first. An empty table gives an empty result. Columns beyond the four stay behind
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ CONTROLS = (*MARKS, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>
 LOSS_ROLES = ("assistant",)
 PIECE_TURNS = 4096
 PIECE_CHARS = 1 << 24
-ENCODED_CHARS = 1 << 20  # given to the library at once
+BATCH_CHARS = 1 << 20  # encoded together
 SMALL = 10_000  # long conversations whose ids are broadcast, as counted
 
 FORMATTED = (
@@ -56,13 +56,14 @@ READ = (
     " formatted_chars long"
 )
 
+Turns = list[tuple[str, str]]
+
 _TAILS = {c: "|".join(re.escape(x[1:]) for x in CONTROLS if x[0] == c) for c in "<["}
 _ESCAPE = re.compile("|".join(rf"(?<={re.escape(c)})\\*(?={tails})" for c, tails in _TAILS.items()))
 _ESCAPED = re.compile(
     "|".join(rf"(?<={re.escape(c)})\\+(?={tails})" for c, tails in _TAILS.items())
 )
 _TURN = re.compile(f"{re.escape(BEGIN)}(.*?){re.escape(SEP)}(.*?){re.escape(END)}", re.DOTALL)
-_CUT = re.compile("(?<=[A-Za-z0-9])[ \n]")  # white space after a word begins a pre-token
 
 
 def escape(text: str) -> str:
@@ -73,7 +74,7 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: m[0][1:], text)
 
 
-def render(turns: list[tuple[str, str]], roles: tuple[str, ...]) -> tuple[str, list[tuple[int, int]]]:
+def render(turns: Turns, roles: tuple[str, ...]) -> tuple[str, list[tuple[int, int]]]:
     """The string of (role, text) turns, and the spans of the texts of the given roles."""
     parts, spans, at = [], [], 0
     for role, text in turns:
@@ -97,37 +98,41 @@ def loss_mask(begins: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]
     return np.cumsum(change[:-1]) > 0
 
 
-def _stretches(text: str, limit: int) -> Iterator[tuple[int, int]]:
-    """The text in stretches that no pre-token crosses, of about `limit` characters."""
-    at = 0
-    while at < len(text):
-        cut = _CUT.search(text, at + limit)
-        end = cut.start() if cut else len(text)
-        yield at, end
-        at = end
-
-
 class Encoder:
     """Ids and offsets of rendered strings; the marks are tokens after those of the vocabulary."""
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import AddedToken, Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        marks = [AddedToken(mark, special=True, normalized=False) for mark in MARKS]
-        self.tokenizer.add_special_tokens(marks)
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, begins and ends of the tokens."""
-        ids, spots, at = [np.empty(0, np.int32)], [np.empty(0, np.int64)], []
-        for a, b in _stretches(text, ENCODED_CHARS):
-            found = self.tokenizer.encode(text[a:b], add_special_tokens=False)
-            ids.append(np.array(found.ids, np.int32))
-            spots.append(np.fromiter(chain.from_iterable(found.offsets), np.int64) + a)
-            at.append(a)
-        places = np.concatenate(spots).astype(np.int32)
-        return np.concatenate(ids), places[::2], places[1::2]
+        self.pieces = bpe.encoder(path)
+        vocabulary = self.pieces.tokenizer.get_vocab()
+        self.marks = [len(vocabulary) + n for n in range(len(MARKS))]
+        self.sizes = np.zeros(len(vocabulary) + len(MARKS), np.int64)  # bytes of each token
+        for token, number in vocabulary.items():
+            self.sizes[number] = len(token)  # a byte-level token has a letter per byte
+        self.sizes[self.marks] = [len(mark) for mark in MARKS]
+
+    def encode_many(self, talks: list[tuple[str, Turns]]) -> Iterator[tuple[np.ndarray, ...]]:
+        """Ids, begins and ends of the tokens of rendered strings, given with their turns."""
+        parts = (escape(x) for _, turns in talks for turn in turns for x in turn)
+        ids = self.pieces.encode_many(parts)  # each with an end id, in whose place a mark goes
+        begin, sep, end = self.marks
+        for text, turns in talks:
+            found = [np.empty(0, np.int64)]
+            for _ in turns:
+                role, said = next(ids).astype(np.int64), next(ids).astype(np.int64)
+                role[-1], said[-1] = sep, end
+                found += [np.array([begin]), role, said]
+            tokens = np.concatenate(found)
+            yield tokens.astype(np.int32), *self._places(text, tokens)
+
+    def _places(self, text: str, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First character and end of each token; a character of several tokens is in all of them."""
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ends = np.cumsum(self.sizes[tokens])
+        if len(raw) != (ends[-1] if len(ends) else 0):
+            raise ValueError("the tokens do not cover the text")
+        character = np.cumsum((raw & 0xC0) != 0x80) - 1  # of each byte
+        begins = character[ends - self.sizes[tokens]]
+        return begins.astype(np.int32), (character[ends - 1] + 1).astype(np.int32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -146,45 +151,41 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def _renderer(path: str, roles: tuple[str, ...], piece_turns: int, piece_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode_many = encoder(path).encode_many
         part = TaskContext.get().partitionId()
-        done: list[tuple] = []
-        chars = 0
-
-        def piece(conv_id, number: int, turns: list[tuple[str, str]]) -> int:
-            text, spans = render(turns, roles)
-            ids, begins, ends = encode(text)
-            mask = loss_mask(begins, ends, spans)
-            done.append((conv_id, number, len(turns), text, ids, begins, ends, mask))
-            return len(text)
+        held: list[tuple] = []  # conv_id, number of the piece, turns
 
         def rows() -> pa.RecordBatch:
-            columns = list(zip(*done))
+            rendered = [render(turns, roles) for *_, turns in held]
+            talks = [(text, turns) for (text, _), (*_, turns) in zip(rendered, held)]
+            ids, begins, ends = zip(*encode_many(talks))
+            masks = [loss_mask(a, b, spans) for a, b, (_, spans) in zip(begins, ends, rendered)]
             arrays = [
-                pa.array(columns[0], pa.int64()),
-                pa.array([part] * len(done), pa.int32()),
-                pa.array(columns[1], pa.int32()),
-                pa.array(columns[2], pa.int32()),
-                pa.array(columns[3], pa.string()),
-                *(_lists(columns[k], pa.int32()) for k in (4, 5, 6)),
-                _lists(columns[7], pa.bool_()),
+                pa.array([conv_id for conv_id, _, _ in held], pa.int64()),
+                pa.array([part] * len(held), pa.int32()),
+                pa.array([number for _, number, _ in held], pa.int32()),
+                pa.array([len(turns) for *_, turns in held], pa.int32()),
+                pa.array([text for text, _ in rendered], pa.string()),
+                *(_lists(x, pa.int32()) for x in (ids, begins, ends)),
+                _lists(masks, pa.bool_()),
             ]
             names = [f.split()[0] for f in FORMATTED.split(", ")]
-            done.clear()
+            held.clear()
             return pa.RecordBatch.from_arrays(arrays, names)
 
         current: object = run  # no conversation yet
-        number = size = 0
-        turns: list[tuple[str, str]] = []
+        number = size = chars = 0
+        turns: Turns = []
         for batch in batches:
             for conv_id, role, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 role, text = role or "", text or ""
                 fresh = conv_id != current or current is run
                 full = len(turns) >= piece_turns or size > piece_chars
                 if turns and (fresh or full):
-                    chars += piece(current, number, turns)
+                    held.append((current, number, turns))
+                    chars += size
                     turns, size, number = [], 0, number + 1
-                    if chars > ENCODED_CHARS:
+                    if chars > BATCH_CHARS:
                         yield rows()
                         chars = 0
                 if fresh:
@@ -192,8 +193,7 @@ def _renderer(path: str, roles: tuple[str, ...], piece_turns: int, piece_chars:
                 turns.append((role, text))
                 size += len(role) + len(text)
         if turns:
-            piece(current, number, turns)
-        if done:
+            held.append((current, number, turns))
             yield rows()
 
     return run
@@ -249,7 +249,7 @@ def loss_texts(formatted: str, begins: np.ndarray, ends: np.ndarray, mask: np.nd
     return [unescape(formatted[a:b]) for a, b in spans]
 
 
-def turns_of(formatted: str) -> list[tuple[str, str]]:
+def turns_of(formatted: str) -> Turns:
     """(role, text) of all turns; anything outside of turns is an error."""
     turns, at = [], 0
     for found in _TURN.finditer(formatted):
@@ -274,14 +274,14 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [pa.array([v], kinds[kind]) for v, (_, kind) in zip(values, fields)]
         return pa.RecordBatch.from_arrays(columns, [name for name, _ in fields])
 
-    held: list[pa.RecordBatch] = []
+    done: list[pa.RecordBatch] = []
     for batch in batches:
         ids, texts = (batch.column(k).to_pylist() for k in range(2))
         for at, (conv_id, text) in enumerate(zip(ids, texts)):
             begins, ends, mask = (batch.column(k)[at] for k in range(2, 5))
             if current is _reader or conv_id != current:
                 if current is not _reader:
-                    held.append(row())
+                    done.append(row())
                 current, turns, loss = conv_id, hashlib.sha256(), hashlib.sha256()
                 n_turns = loss_chars = chars = 0
             for role, said in turns_of(text):
@@ -292,9 +292,9 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 loss.update(said.encode())
                 loss_chars += len(said)
             chars += len(text)
-        if held:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
+        if done:
+            yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+            done = []
     if current is not _reader:
         yield row()
 

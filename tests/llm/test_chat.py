@@ -29,11 +29,11 @@ def test_escapes_are_reversible():
 
 def test_mask_covers_each_text_exactly():
     r = random.Random(4)
-    encode = chat.Encoder(bpe.vocabulary()).encode
+    encoder = chat.Encoder(bpe.vocabulary())
     for _ in range(300):
         turns = [(r.choice(["user", "assistant", "", "<s>"]), nasty(r)) for _ in range(r.randint(1, 6))]
         text, spans = chat.render(turns, ("assistant",))
-        ids, begins, ends = encode(text)
+        ids, begins, ends = next(encoder.encode_many([(text, turns)]))
         mask = chat.loss_mask(begins, ends, spans)
         inside = [any(a < e and b > s for a, b in spans) for s, e in zip(begins, ends)]
         assert mask.tolist() == inside
@@ -42,17 +42,25 @@ def test_mask_covers_each_text_exactly():
         assert chat.turns_of(text) == turns
 
 
-def test_long_strings_are_encoded_alike(monkeypatch):
+def test_ids_and_offsets_are_the_library_s():
+    from tokenizers import AddedToken, Tokenizer
+
+    library = Tokenizer.from_file(bpe.vocabulary())
+    library.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in chat.MARKS])
     r = random.Random(6)
-    words = ["and", "x1", "é", "so,", "...", "\n", "  ", "don't", "😀"]
-    text, _ = chat.render([("user", " ".join(r.choices(words, k=400))), ("assistant", "a b " * 50)], ())
+    words = [*NASTY, "and", "x1", " so, ", "...", "\n", "  ", "don't", "日本", " word", "\t"]
+    talks = []
+    for _ in range(300):
+        turns = [
+            (r.choice(["user", "", "é"]), "".join(w or "" for w in r.choices(words, k=r.randint(0, 40))))
+            for _ in range(r.randint(0, 5))
+        ]
+        talks.append((chat.render(turns, ())[0], turns))
     encoder = chat.Encoder(bpe.vocabulary())
-    whole = encoder.tokenizer.encode(text, add_special_tokens=False)
-    monkeypatch.setattr(chat, "ENCODED_CHARS", 7)
-    ids, begins, ends = encoder.encode(text)
-    assert ids.tolist() == whole.ids
-    assert list(zip(begins.tolist(), ends.tolist())) == whole.offsets
-    assert [a.tolist() for a in encoder.encode("")] == [[], [], []]
+    for (text, _), (ids, begins, ends) in zip(talks, encoder.encode_many(talks)):
+        whole = library.encode(text, add_special_tokens=False)
+        assert ids.tolist() == whole.ids
+        assert list(zip(begins.tolist(), ends.tolist())) == whole.offsets
 
 
 def brute_force(rows):
