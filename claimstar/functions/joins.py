@@ -31,6 +31,18 @@ def bounded(frame: DataFrame, name: str, rows: int | None = KEY_ROWS) -> DataFra
     return packed.select(F.inline(checked))
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """The union by name of frames of the same columns.
+
+    Halves are united first: each union checks all of its plan again, which for one long chain of
+    them grows with the square of their number.
+    """
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return union_all(frames[:middle]).unionByName(union_all(frames[middle:]))
+
+
 def planned_as_broadcast(frames: Sequence[DataFrame]) -> bool:
     """Whether Spark estimates each frame within the broadcast threshold; no job runs."""
     spark = frames[0].sparkSession

@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimstar.functions.columns import lower_text, month_of, ratio
-from claimstar.functions.joins import left_join_null_safe, skew_splittable_join
+from claimstar.functions.joins import bounded, left_join_null_safe, skew_splittable_join
 
 RISK_COLUMNS = (
     "risk_model_code",
     "normalized_risk_score",
     "population_normalized_risk_score",
 )
+# What a member month and its scores have in common; the last one, the payer, may be null in both.
+RISK_KEYS = ("person_id", "year_month", "data_source", "payer")
+MEAN_ROWS = 100_000  # most (month, source) pairs whose means are taken as small
 
 
 def encounter_enrichment(
@@ -54,47 +57,58 @@ def encounter_enrichment(
     )
 
 
-def monthly_risk(risk_scores_monthly: DataFrame) -> DataFrame:
-    """Monthly person scores with their ratio to the mean of the same month and source.
+def monthly_keys(risk_scores_monthly: DataFrame, *others: str) -> DataFrame:
+    """The keys of monthly scores, and other columns of theirs."""
+    month = month_of("collection_end_date").alias("year_month")
+    return risk_scores_monthly.select("person_id", month, "data_source", "payer", *others)
 
-    The mean is over every score row of that month and source, member month or not. A person's
-    score and the mean it is compared with share month and source, so the ratio is formed here,
-    on the narrow score rows, and member months need one join instead of two.
-    """
-    scores = risk_scores_monthly.select(
-        month_of("collection_end_date").alias("year_month"),
-        "person_id",
-        "payer",
-        "data_source",
-        "normalized_risk_score",
-        "risk_model_code",
-    )
+
+def monthly_means(risk_scores_monthly: DataFrame) -> DataFrame:
+    """The mean score of every month and source, over all its score rows."""
+    scores = monthly_keys(risk_scores_monthly, "normalized_risk_score")
     # Sum and count instead of avg: exact for decimals, so the mean does not depend on the
     # order in which tasks finish.
-    means = scores.groupBy("year_month", "data_source").agg(
+    return scores.groupBy("year_month", "data_source").agg(
         ratio(F.sum("normalized_risk_score"), F.count("normalized_risk_score")).alias("mean_score")
     )
-    return (
-        skew_splittable_join(scores, means, ["year_month", "data_source"], "left")
-        .withColumn(
-            "population_normalized_risk_score",
-            ratio(F.col("normalized_risk_score"), F.col("mean_score")),
-        )
-        .drop("mean_score")
-    )
 
 
-def with_risk(member_month: DataFrame, risk_scores_monthly: DataFrame) -> DataFrame:
+def monthly_risk(risk_scores_monthly: DataFrame, mean_rows: int | None = MEAN_ROWS) -> DataFrame:
+    """Monthly person scores with their ratio to the mean of the same month and source.
+
+    The mean is over every score row of that month and source, member month or not. A person's
+    score and the mean it is compared with share month and source, so the ratio is formed here,
+    on the narrow score rows, and member months need one join instead of two. The means, a row per
+    month and source, are at most ``mean_rows`` and meet the scores where these lie; with
+    ``mean_rows`` None the scores are shuffled by month and source where Spark estimates more.
+    """
+    scores = monthly_keys(risk_scores_monthly, "normalized_risk_score", "risk_model_code")
+    means, keys = monthly_means(risk_scores_monthly), ["year_month", "data_source"]
+    if mean_rows is None:
+        compared = skew_splittable_join(scores, means, keys, "left")
+    else:
+        compared = scores.join(bounded(means, "the means per month and source", mean_rows), keys, "left")
+    return compared.withColumn(
+        "population_normalized_risk_score",
+        ratio(F.col("normalized_risk_score"), F.col("mean_score")),
+    ).drop("mean_score")
+
+
+def with_risk(
+    member_month: DataFrame, risk_scores_monthly: DataFrame, mean_rows: int | None = MEAN_ROWS
+) -> DataFrame:
     """Member months with the three risk columns; person, month, payer and source must agree."""
     return left_join_null_safe(
         member_month,
-        monthly_risk(risk_scores_monthly),
-        plain=["person_id", "year_month", "data_source"],
-        null_safe=["payer"],
+        monthly_risk(risk_scores_monthly, mean_rows),
+        plain=RISK_KEYS[:-1],
+        null_safe=RISK_KEYS[-1:],
     )
 
 
-def member_month_risk(member_month: DataFrame, risk_scores_monthly: DataFrame) -> DataFrame:
-    return with_risk(member_month, risk_scores_monthly).select(
+def member_month_risk(
+    member_month: DataFrame, risk_scores_monthly: DataFrame, mean_rows: int | None = MEAN_ROWS
+) -> DataFrame:
+    return with_risk(member_month, risk_scores_monthly, mean_rows).select(
         "member_month_id", "data_source", *RISK_COLUMNS
     )

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimstar.functions.columns import (
     FALSE_TEXTS,
     TRUE_TEXTS,
+    arranged,
     lower_text,
     month_of,
+    only,
     ratio,
     run_stamp,
     safe_int,
@@ -23,7 +25,7 @@ from claimstar.functions.joins import (
     skew_splittable_join,
 )
 from claimstar.operators.dims import CATEGORY_LEVELS, known_sources
-from claimstar.operators.enrich import RISK_COLUMNS, with_risk
+from claimstar.operators.enrich import RISK_COLUMNS, RISK_KEYS, monthly_keys, with_risk
 from claimstar.sources.contracts import CONTRACTS, COST_MEASURES, STAMP
 
 ENCOUNTER_KEY = ("encounter_id", "data_source")
@@ -36,6 +38,9 @@ ENCOUNTER_AMOUNTS = (
     "prof_claim_count",
 )
 
+# What a member month and its costs have in common.
+CELL = ("person_id", "member_id", "year_month", "data_source", "payer", "plan")
+
 DEFAULT_SPECIALTY_THRESHOLD = 950
 
 
@@ -61,29 +66,24 @@ def encounters(
     kinds = dim_encounter_type.select("encounter_type", "encounter_type_sk")
     kinds = bounded(kinds, "dim_encounter_type", key_rows)
     month = month_of("encounter_start_date")
-    return (
-        encounter.join(groups, "encounter_group")
-        .join(kinds, "encounter_type")
-        .select(
-            "encounter_id",
-            "person_id",
-            "data_source",
-            text_key("person_id", "data_source").alias("patient_source_key"),
-            text_key("person_id", month).alias("member_month_sk"),
-            month.alias("year_month"),
-            "encounter_group_sk",
-            "encounter_type_sk",
-            "encounter_start_date",
-            "encounter_end_date",
-            *_columns("encounter", "attending_provider_id", "nicu_flag"),
-            *_columns(
-                "encounter", "primary_diagnosis_code_type", "primary_diagnosis_description"
-            ),
-            *ENCOUNTER_AMOUNTS,
-            "source_model",
-            "encounter_source_type",
-            STAMP,
-        )
+    return arranged(
+        encounter.join(groups, "encounter_group").join(kinds, "encounter_type"),
+        "encounter_id",
+        "person_id",
+        "data_source",
+        ("patient_source_key", text_key("person_id", "data_source")),
+        ("member_month_sk", text_key("person_id", month)),
+        ("year_month", month),
+        "encounter_group_sk",
+        "encounter_type_sk",
+        "encounter_start_date",
+        "encounter_end_date",
+        *_columns("encounter", "attending_provider_id", "nicu_flag"),
+        *_columns("encounter", "primary_diagnosis_code_type", "primary_diagnosis_description"),
+        *ENCOUNTER_AMOUNTS,
+        "source_model",
+        "encounter_source_type",
+        STAMP,
     )
 
 
@@ -116,7 +116,8 @@ def claims(
     lines = categorized_claims(
         medical_claim, dim_service_category, dim_data_source, key_rows
     )
-    return skew_splittable_join(lines, encounter_enrichment, ENCOUNTER_KEY).select(
+    return arranged(
+        skew_splittable_join(lines, encounter_enrichment, ENCOUNTER_KEY),
         "medical_claim_id",
         "encounter_id",
         "encounter_group_sk",
@@ -132,9 +133,9 @@ def claims(
         "person_id",
         "member_id",
         "member_month_id",
-        text_key("person_id", "data_source").alias("patient_source_key"),
-        text_key("person_id", month).alias("member_month_sk"),
-        month.alias("year_month"),
+        ("patient_source_key", text_key("person_id", "data_source")),
+        ("member_month_sk", text_key("person_id", month)),
+        ("year_month", month),
         "service_category_sk",
         "claim_id",
         "claim_line_number",
@@ -242,61 +243,88 @@ def ed_visits(encounter: DataFrame, ed_classification: DataFrame) -> DataFrame:
     )
 
 
-def member_months(
+def year_months(
     member_month: DataFrame, risk_scores_monthly: DataFrame, cost: DataFrame
 ) -> DataFrame:
-    """Member months with risk, cost and the share of each month in its coverage year.
+    """``cell``, total_year_months: per month of a member how many rows its coverage year has.
 
-    Risk is attached by ``member_month_id`` and source, so a month without an id gets none, and a
-    month has as many rows as its risk rows times its cost rows. The months of a year count all of
-    these: the numbers of risk and cost rows per key, each from a narrow aggregate, are multiplied
-    per month and summed, all combined map-side; a window over the joined rows would sort a
-    placeholder member that holds very many rows in one task. The 70 cost columns come last, so no
-    later exchange moves them. A null payer or plan matches a null one; a null member id never
-    matches cost.
+    A cell is a person's month with one member id, payer, plan and source; its year is that of the
+    month. A month counts as many times as it has risk rows times cost rows. The risk rows of a month
+    are those of all months with its id, each of which has one where nobody scored it. Only narrow
+    columns move, and numbers per cell do from then on: a placeholder member shrinks to a row a month
+    before its year is added up.
     """
-    year = ["person_id", "member_id", "payer", "plan", "data_source", "year_nbr"]
-    by_id = ["member_month_id", "data_source"]
-    risk = with_risk(member_month, risk_scores_monthly).select(*by_id, *RISK_COLUMNS)
-    risk = risk.filter("member_month_id is not null")
-    plain, null_safe = ["person_id", "member_id", "year_month", "data_source"], ["payer", "plan"]
-    costs = cost.select(*plain, *null_safe, *COST_MEASURES)
-    many = F.count(F.lit(1))
-    counted = member_month.select("member_month_id", "year_month", *year)
-    counted = left_join_null_safe(
-        counted, risk.groupBy(*by_id).agg(many.alias("n_risk")), plain=by_id, null_safe=[]
-    )
-    counted = left_join_null_safe(
-        counted,
-        costs.groupBy(*plain, *null_safe).agg(many.alias("n_cost")),
-        plain=plain,
-        null_safe=null_safe,
+    n = F.count(F.lit(1))
+    scored = monthly_keys(risk_scores_monthly).groupBy(*RISK_KEYS).agg(n.alias("n_scores"))
+    months = left_join_null_safe(
+        member_month.select("member_month_id", *CELL),
+        scored,
+        plain=RISK_KEYS[:-1],
+        null_safe=RISK_KEYS[-1:],
     )
-    rows = F.coalesce("n_risk", F.lit(1)) * F.coalesce("n_cost", F.lit(1))
-    coverage = counted.groupBy(*year).agg(F.sum(rows).alias("total_year_months"))
-    months = left_join_null_safe(member_month, coverage, plain=[], null_safe=year)
-    costed = left_join_null_safe(
-        left_join_null_safe(months, risk, plain=by_id, null_safe=[]),
-        costs,
-        plain=plain,
-        null_safe=null_safe,
+    # Months without an id or a source have no risk. They stand alone; in the window, all with a null
+    # id would be one group.
+    without = F.col("member_month_id").isNull() | F.col("data_source").isNull()
+    alone = F.when(without, F.struct(*CELL))
+    same_id = Window.partitionBy("member_month_id", "data_source", alone)
+    own = F.coalesce("n_scores", F.lit(1))
+    n_risk = F.when(without, F.lit(1)).otherwise(F.sum(own).over(same_id))
+    cells = months.select(F.struct(*CELL).alias("cell"), n_risk.alias("n_risk"))
+    cells = cells.groupBy("cell").agg(F.sum("n_risk").alias("n_risk"))
+    costs = cost_cells(cost).groupBy("cell").agg(n.alias("n_cost"))
+    rows = F.col("n_risk") * F.coalesce("n_cost", F.lit(1))
+    year = F.struct(
+        *[F.col("cell")[c].alias(c) for c in CELL if c != "year_month"],
+        F.substring(F.col("cell")["year_month"], 1, 4).alias("year"),
     )
-    one = F.lit(1)
-    share = ratio(one, F.col("total_year_months"))
-    return costed.select(
+    total = F.sum(rows).over(Window.partitionBy(year))
+    return cells.join(costs, "cell", "left").select("cell", total.alias("total_year_months"))
+
+
+def cost_cells(cost: DataFrame) -> DataFrame:
+    """Costs with the cell they belong to; a missing payer or plan is one of its own, others are not."""
+    known = cost.dropna(subset=[c for c in CELL if c not in ("payer", "plan")])
+    return known.withColumn("cell", F.struct(*CELL))
+
+
+def member_months(
+    member_month: DataFrame,
+    risk_scores_monthly: DataFrame,
+    cost: DataFrame,
+    member_month_risk: DataFrame | None = None,
+) -> DataFrame:
+    """Member months with risk, cost and the share of each month in its coverage year.
+
+    Risk is attached by ``member_month_id`` and source (from ``member_month_risk`` where that is at
+    hand), so a month without an id gets none, and a month has as many rows as its risk rows times
+    its cost rows; ``year_months`` counts them. Whole months move twice: by id to their risk, and by
+    cell to the size of their year and their costs, which for both joins is one exchange. Null payers
+    and plans match null ones; a null member id never matches cost.
+    """
+    by_id = ["member_month_id", "data_source"]
+    if member_month_risk is None:
+        member_month_risk = with_risk(member_month, risk_scores_monthly)
+    risk = member_month_risk.select(*by_id, *RISK_COLUMNS).filter("member_month_id is not null")
+    months = left_join_null_safe(member_month, risk, plain=by_id, null_safe=[])
+    years = year_months(member_month, risk_scores_monthly, cost)
+    costs = only(cost_cells(cost), ["cell", *COST_MEASURES])
+    celled = months.withColumn("cell", F.struct(*CELL)).join(years, "cell", "left")
+    share = ratio(F.lit(1), F.col("total_year_months"))
+    return arranged(
+        celled.join(costs, "cell", "left"),
         "person_id",
         "member_id",
         "member_month_id",
         "year_nbr",
         "year_month",
-        text_key("person_id", "year_month").alias("member_month_sk"),
-        one.alias("member_months"),
+        ("member_month_sk", text_key("person_id", "year_month")),
+        ("member_months", F.lit(1)),
         "total_year_months",
-        F.coalesce(share, F.lit(0.0)).alias("month_allocation_factor"),
+        ("month_allocation_factor", F.coalesce(share, F.lit(0.0))),
         "data_source",
         "payer",
         "plan",
-        text_key("person_id", "data_source").alias("patient_source_key"),
+        ("patient_source_key", text_key("person_id", "data_source")),
         *RISK_COLUMNS,
         *COST_MEASURES,
         STAMP,
@@ -358,60 +386,58 @@ def pharmacy_claims(
     thirty_days = per_day * 30
     branded = lower_text("is_brand").isin(*TRUE_TEXTS)
     generic = lower_text("is_brand").isin(*FALSE_TEXTS)
-    return (
-        with_drugs(pharmacy_claim, drug_packages, drugs, drug_classes)
-        .join(prescribers, ["data_source", "prescribing_provider_id"], "left")
-        .select(
-            "pharmacy_claim_id",
-            "member_id",
-            "payer",
-            "plan",
-            "member_month_id",
-            "claim_id",
-            "claim_line_number",
-            "person_id",
-            "data_source",
-            text_key("person_id", "data_source").alias("patient_source_key"),
-            "ndc_code",
-            "ndc_description",
-            "paid_amount",
-            "allowed_amount",
-            "prescribing_provider_id",
-            "prescribing_provider_name",
-            "prescribing_specialty",
-            "dispensing_provider_id",
-            "dispensing_provider_name",
-            "paid_date",
-            "dispensing_date",
-            "days_supply",
-            per_day.alias("cost_per_day"),
-            thirty_days.alias("thirty_day_equivalent_cost"),
-            F.when(thirty_days >= specialty_threshold, 1).otherwise(0).alias("specialty_tier"),
-            F.col("drug_id").alias("rxcui"),
-            F.col("drug_name").alias("rxnorm_description"),
-            F.when(branded, F.col("drug_name")).alias("brand_name"),
-            F.when(branded, "brand").when(generic, "generic").alias("brand_vs_generic"),
-            F.lit(None).cast("string").alias("ingredient_name"),
-            "atc_1_name",
-            "atc_2_name",
-            "atc_3_name",
-            "atc_4_name",
-            STAMP,
-        )
+    named = with_drugs(pharmacy_claim, drug_packages, drugs, drug_classes)
+    return arranged(
+        named.join(prescribers, ["data_source", "prescribing_provider_id"], "left"),
+        "pharmacy_claim_id",
+        "member_id",
+        "payer",
+        "plan",
+        "member_month_id",
+        "claim_id",
+        "claim_line_number",
+        "person_id",
+        "data_source",
+        ("patient_source_key", text_key("person_id", "data_source")),
+        "ndc_code",
+        "ndc_description",
+        "paid_amount",
+        "allowed_amount",
+        "prescribing_provider_id",
+        "prescribing_provider_name",
+        "prescribing_specialty",
+        "dispensing_provider_id",
+        "dispensing_provider_name",
+        "paid_date",
+        "dispensing_date",
+        "days_supply",
+        ("cost_per_day", per_day),
+        ("thirty_day_equivalent_cost", thirty_days),
+        ("specialty_tier", F.when(thirty_days >= specialty_threshold, 1).otherwise(0)),
+        ("rxcui", F.col("drug_id")),
+        ("rxnorm_description", F.col("drug_name")),
+        ("brand_name", F.when(branded, F.col("drug_name"))),
+        ("brand_vs_generic", F.when(branded, "brand").when(generic, "generic")),
+        ("ingredient_name", F.lit(None).cast("string")),
+        "atc_1_name",
+        "atc_2_name",
+        "atc_3_name",
+        "atc_4_name",
+        STAMP,
     )
 
 
 def hcc_gaps(hcc_suspects: DataFrame) -> DataFrame:
-    return hcc_suspects.select(*CONTRACTS["hcc_suspects"], STAMP)
+    return only(hcc_suspects, [*CONTRACTS["hcc_suspects"], STAMP])
 
 
 def quality_measures(staged_measures: DataFrame) -> DataFrame:
-    return staged_measures.select(*CONTRACTS["quality_measures"], STAMP)
+    return only(staged_measures, [*CONTRACTS["quality_measures"], STAMP])
 
 
 def risk_factors(staged_factors: DataFrame) -> DataFrame:
-    return staged_factors.select(*CONTRACTS["risk_factors"], STAMP)
+    return only(staged_factors, [*CONTRACTS["risk_factors"], STAMP])
 
 
 def risk_scores(staged_scores: DataFrame) -> DataFrame:
-    return staged_scores.select(*CONTRACTS["risk_scores"], STAMP)
+    return only(staged_scores, [*CONTRACTS["risk_scores"], STAMP])

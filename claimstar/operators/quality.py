@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimstar.functions.joins import KEY_ROWS, bounded
+from claimstar.functions.joins import KEY_ROWS, bounded, union_all
 from claimstar.operators.dims import CATEGORY_LEVELS, known_sources
 from claimstar.operators.facts import ENCOUNTER_KEY
+from claimstar.sources import seeds
 
 Tables = Callable[[str], DataFrame]
 
@@ -175,56 +175,122 @@ def _null_counts(table: str, frame: DataFrame, columns: Sequence[str]) -> DataFr
 
 
 def _key(rule: Rule) -> Column:
-    """The rule's key as exact text; null where the rule does not apply."""
-    key = F.to_json(F.struct(*rule.columns))  # nulls are left out, so they differ from any value
+    """The rule's key as exact text; null where the rule does not apply.
+
+    Every value comes with its length, so neither a null nor a value that looks like two can be taken
+    for another key.
+    """
+    values = [F.col(c).cast("string") for c in rule.columns]
+    sized = [F.coalesce(F.concat(F.length(v), F.lit(":"), v), F.lit("-")) for v in values]
+    key = F.concat(*sized)
     return F.when(F.col(rule.columns[0]).isNotNull(), key) if len(rule.columns) == 1 else key
 
 
-def _duplicate_counts(table: str, frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Duplicate keys of several rules in one pass, one result row per rule.
+def _key_hash(rule: Rule) -> Column:
+    """64 bits of the rule's key; null where the rule does not apply."""
+    parts = [F.col(c).cast("string") for c in rule.columns]
+    if len(parts) == 1:
+        return F.when(parts[0].isNotNull(), F.xxhash64(*parts))
+    return F.xxhash64(*parts, *[p.isNull() for p in parts])
 
-    The table is computed once; its rows become (rule, key) pairs, which shrink in each task
-    before they move.
-    """
-    keys = F.array(
-        *[F.struct(F.lit(n).alias("rule"), _key(r).alias("key")) for n, r in enumerate(rules)]
-    )
-    pairs = frame.select(F.explode(keys).alias("pair")).select("pair.*").filter("key is not null")
-    repeated = pairs.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n_rows"))
-    repeated = repeated.filter("n_rows > 1")
-    counts = repeated.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(r.check).alias("check"),
-                    F.lit(",".join(r.columns)).alias("columns"),
-                    F.count_if(F.col("rule") == n).alias("violations"),
-                )
-                for n, r in enumerate(rules)
-            ]
-        ).alias("counts")
+
+def _shown(rule: Rule) -> Column:
+    """The rule's key as it is reported: values joined by |, null ones as \\N."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in rule.columns])
+
+
+def _pairs(frame: DataFrame, rules: Sequence[Rule], value: Callable[[Rule], Column]) -> DataFrame:
+    """(rule, key) of every row and rule that applies; the table is computed once."""
+    pairs = F.array(
+        *[F.struct(F.lit(n).alias("rule"), value(r).alias("key")) for n, r in enumerate(rules)]
     )
-    return counts.select(F.explode("counts").alias("c")).select(
-        F.col("c.check").alias("check_name"),
-        F.lit(table).alias("table_name"),
-        F.col("c.columns").alias("column_names"),
-        F.col("c.violations").alias("violations"),
+    pairs = frame.select(F.explode(pairs).alias("pair")).select("pair.*")
+    return pairs.filter("key is not null")
+
+
+def _counts_of(found: DataFrame, rules: Sequence[Rule], number: Callable[[int], Column]) -> DataFrame:
+    """One result row per rule: a number over the rows found, which carry the number of their rule."""
+    counts = F.array(
+        *[
+            F.struct(
+                F.lit(r.check).alias("check_name"),
+                F.lit(r.table).alias("table_name"),
+                F.lit(",".join(r.columns)).alias("column_names"),
+                number(n).alias("violations"),
+            )
+            for n, r in enumerate(rules)
+        ]
     )
+    return found.agg(counts.alias("counts")).select(F.inline("counts"))
+
+
+def _of_rule(n: int) -> Column:
+    return F.count_if(F.col("rule") == n)
+
+
+def _repeated_hashes(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """How many key hashes of each rule occur more than once. Twelve bytes a row move, and a count."""
+    hashed = _pairs(frame, rules, _key_hash).groupBy("rule", "key").agg(F.count("*").alias("n_rows"))
+    return _counts_of(hashed.filter("n_rows > 1"), rules, _of_rule)
+
+
+def _repeated_keys(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(rule, key, shown, n_rows) of all keys that occur more than once, by the exact keys."""
+    both = lambda r: F.when(_key(r).isNotNull(), F.struct(_key(r).alias("exact"), _shown(r).alias("shown")))
+    pairs = _pairs(frame, rules, both)
+    counted = pairs.groupBy("rule", F.col("key.exact").alias("key"))
+    counted = counted.agg(F.first("key.shown").alias("shown"), F.count("*").alias("n_rows"))
+    return counted.filter("n_rows > 1")
+
+
+def _by_table(rules: Iterable[Rule], *checks: str) -> dict[str, list[Rule]]:
+    grouped: dict[str, list[Rule]] = {}
+    for rule in rules:
+        if rule.check in checks:
+            grouped.setdefault(rule.table, []).append(rule)
+    return grouped
+
+
+UNIQUENESS = ("unique", "unique_combination")
+
+
+def suspected(tables: Tables, rules: Iterable[Rule]) -> list[Rule]:
+    """The uniqueness rules of which some 64-bit key hash occurs more than once; all others hold.
+
+    One job over all tables, started here; a row per rule comes back.
+    """
+    grouped = _by_table(rules, *UNIQUENESS)
+    if not grouped:
+        return []
+    counts = union_all([_repeated_hashes(tables(t), same) for t, same in grouped.items()])
+    found = {
+        (r.check_name, r.table_name, r.column_names)
+        for r in counts.filter("violations > 0").collect()
+    }
+    listed = [r for same in grouped.values() for r in same]
+    return [r for r in listed if (r.check, r.table, ",".join(r.columns)) in found]
+
+
+def _duplicate_counts(tables: Tables, rules: Sequence[Rule]) -> list[DataFrame]:
+    """Duplicate keys in two steps: rules whose hashes all differ hold, the others are counted by key."""
+    doubtful = suspected(tables, rules)
+    certain = [r for r in rules if r.check in UNIQUENESS and r not in doubtful]
+    results = []
+    if certain:
+        nothing = tables(certain[0].table).sparkSession.range(0)
+        results.append(_counts_of(nothing, certain, lambda n: F.lit(0).cast("long")))
+    for table, same in _by_table(doubtful, *UNIQUENESS).items():
+        results.append(_counts_of(_repeated_keys(tables(table), same), same, _of_rule))
+    return results
 
 
-def _orphan_counts(table: str, frame: DataFrame, rules: Sequence[Rule], tables: Tables) -> DataFrame:
-    """Rows without a parent for several rules in one pass over the table, one result row per rule.
+def _orphan_keys(frame: DataFrame, rules: Sequence[Rule], tables: Tables) -> DataFrame:
+    """(rule, key, n_rows) of child keys without a parent, for several rules in one pass over the table.
 
     Child keys are counted as (rule, key) pairs, which shrink in each task before they move, and
     meet the keys of all parents at once.
     """
-    keys = F.array(
-        *[
-            F.struct(F.lit(n).alias("rule"), F.col(r.columns[0]).cast("string").alias("key"))
-            for n, r in enumerate(rules)
-        ]
-    )
-    pairs = frame.select(F.explode(keys).alias("pair")).select("pair.*").filter("key is not null")
+    pairs = _pairs(frame, rules, lambda r: F.col(r.columns[0]).cast("string"))
     counted = pairs.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n_rows"))
     rules_of: dict[tuple[str, str], list[int]] = {}
     for n, r in enumerate(rules):
@@ -236,23 +302,26 @@ def _orphan_counts(table: str, frame: DataFrame, rules: Sequence[Rule], tables:
         )
         for (parent, column), numbers in rules_of.items()
     ]
-    missing = counted.join(reduce(DataFrame.union, parents), ["rule", "key"], "left_anti")
-    counts = missing.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(",".join(r.columns)).alias("columns"),
-                    F.coalesce(F.sum(F.when(F.col("rule") == n, F.col("n_rows"))), F.lit(0)).alias(
-                        "violations"
-                    ),
-                )
-                for n, r in enumerate(rules)
-            ]
-        ).alias("counts")
-    )
-    return counts.select(F.explode("counts").alias("c")).select(
-        *_result("relationship", table, F.col("c.columns"), F.col("c.violations"))
-    )
+    return counted.join(union_all(parents), ["rule", "key"], "left_anti")
+
+
+def _orphan_counts(frame: DataFrame, rules: Sequence[Rule], tables: Tables) -> DataFrame:
+    rows_of = lambda n: F.coalesce(F.sum(F.when(F.col("rule") == n, F.col("n_rows"))), F.lit(0))
+    return _counts_of(_orphan_keys(frame, rules, tables), rules, rows_of)
+
+
+def _named(found: DataFrame, rules: Sequence[Rule], key: str) -> DataFrame:
+    """Found keys, which carry the number of their rule, in the shape of ``violating_keys``."""
+    names = [
+        F.struct(
+            F.lit(r.check).alias("check_name"),
+            F.lit(r.table).alias("table_name"),
+            F.lit(",".join(r.columns)).alias("column_names"),
+        )
+        for r in rules
+    ]
+    named = found.withColumn("named", F.get(F.array(*names), F.col("rule")))
+    return named.select("named.*", F.col(key).alias("key"), "n_rows")
 
 
 def violations(tables: Tables, rule: Rule) -> DataFrame:
@@ -277,52 +346,58 @@ def violating_keys(tables: Tables, rules: Iterable[Rule]) -> DataFrame:
     """The violations of several rules in one shape: check_name, table_name, column_names, key, n_rows.
 
     The key is that of the rule as text, null parts written as \\N; rows with a null come as a number.
+    Rules of one kind and table share one pass, and uniqueness rules that ``suspected`` clears need
+    none beyond its own.
     """
+    rules = list(rules)
     found = []
+    for table, same in _by_table(rules, "not_null").items():
+        nulls = _null_counts(table, tables(table), [r.columns[0] for r in same])
+        nulls = nulls.filter("violations > 0").withColumnRenamed("violations", "n_rows")
+        found.append(nulls.withColumn("key", F.lit("\\N")))
+    for table, same in _by_table(suspected(tables, rules), *UNIQUENESS).items():
+        found.append(_named(_repeated_keys(tables(table), same), same, "shown"))
+    for table, same in _by_table(rules, "relationship").items():
+        found.append(_named(_orphan_keys(tables(table), same, tables), same, "key"))
     for rule in rules:
-        broken = violations(tables, rule)
-        text = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in rule.columns]
-        key = F.concat_ws("|", *text).alias("key")
-        if "n_rows" not in broken.columns:
-            broken = broken.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n_rows"))
-        names = F.lit(",".join(rule.columns)).alias("column_names")
-        label = [F.lit(rule.check).alias("check_name"), F.lit(rule.table).alias("table_name")]
-        found.append(broken.select(*label, names, key, "n_rows"))
-    return reduce(DataFrame.unionByName, found)
+        if rule.check == "accepted_values":
+            others = violations(tables, rule).withColumn("rule", F.lit(0))
+            found.append(_named(others, [rule], rule.columns[0]))
+    columns = ["check_name", "table_name", "column_names", "key", "n_rows"]
+    if not found:
+        spark = tables(rules[0].table).sparkSession
+        empty = "check_name string, table_name string, column_names string, key string, n_rows long"
+        return spark.createDataFrame([], empty)
+    return union_all([f.select(*columns) for f in found])
 
 
 def run(tables: Tables, rules: Iterable[Rule] = RULES) -> DataFrame:
     """One row per rule: check_name, table_name, column_names, violations.
 
     ``tables`` maps a name to a DataFrame, best to a stored table. All null checks of a table
-    share one scan, and so do all its uniqueness checks and all its relationships.
+    share one scan, and so do all its uniqueness checks and all its relationships. Uniqueness is first
+    decided by hashes (``suspected``, a job of its own), and by whole keys where hashes repeat.
     """
     rules = list(rules)
-    results = []
-    keyed: dict[str, list[Rule]] = {}
-    for rule in rules:
-        if rule.check in ("unique", "unique_combination"):
-            keyed.setdefault(rule.table, []).append(rule)
-    for table, same in keyed.items():
-        results.append(_duplicate_counts(table, tables(table), same))
-    null_columns: dict[str, list[str]] = {}
-    for rule in rules:
-        if rule.check == "not_null":
-            null_columns.setdefault(rule.table, []).extend(rule.columns)
-    for table, columns in null_columns.items():
-        results.append(_null_counts(table, tables(table), columns))
-    related: dict[str, list[Rule]] = {}
     for rule in rules:
-        if rule.check == "relationship":
-            related.setdefault(rule.table, []).append(rule)
-    for table, same in related.items():
-        results.append(_orphan_counts(table, tables(table), same, tables))
+        if rule.check not in ("not_null", *UNIQUENESS, "relationship", "accepted_values"):
+            raise ValueError(f"unknown check {rule.check}")
+    results = _duplicate_counts(tables, rules)
+    for table, same in _by_table(rules, "not_null").items():
+        results.append(_null_counts(table, tables(table), [r.columns[0] for r in same]))
+    for table, same in _by_table(rules, "relationship").items():
+        results.append(_orphan_counts(tables(table), same, tables))
     for rule in rules:
         if rule.check == "accepted_values":
             results.append(_count_rows(rule, violations(tables, rule)))
-        elif rule.check not in ("not_null", "unique", "unique_combination", "relationship"):
-            raise ValueError(f"unknown check {rule.check}")
-    return reduce(DataFrame.unionByName, results)
+    return union_all(results)
+
+
+def null_metrics(rules: Iterable[Rule]) -> dict[Rule, Column]:
+    """The null counts of not_null rules as aggregates, to be observed while a table is written."""
+    return {
+        r: F.count_if(F.col(r.columns[0]).isNull()) for r in rules if r.check == "not_null"
+    }
 
 
 def uncovered_labels(encounter: DataFrame, dimension: DataFrame, column: str) -> DataFrame:
@@ -366,3 +441,33 @@ def uncovered_service_categories(
     )
     published = fact_encounters.select(*ENCOUNTER_KEY)
     return unmapped.join(published, list(ENCOUNTER_KEY), "left_semi").select(*levels).distinct()
+
+
+def _labels(table: str, column: str) -> Callable[[Tables], DataFrame]:
+    return lambda tables: uncovered_labels(tables("encounter"), tables(table), column)
+
+
+def _fixed_type_keys(tables: Tables) -> DataFrame:
+    types = tables("dim_encounter_type")
+    return missing_keys(types, seeds.fixed_type_keys(types.sparkSession))
+
+
+def _service_categories(tables: Tables) -> DataFrame:
+    return uncovered_service_categories(
+        tables("medical_claim"), tables("fact_encounters"), tables("dim_service_category")
+    )
+
+
+# What must be covered, the last table that each assertion needs, and the rows that break it.
+COVERAGE: dict[str, tuple[str, Callable[[Tables], DataFrame]]] = {
+    "check_encounter_group_coverage": (
+        "dim_encounter_group",
+        _labels("dim_encounter_group", "encounter_group"),
+    ),
+    "check_encounter_type_coverage": (
+        "dim_encounter_type",
+        _labels("dim_encounter_type", "encounter_type"),
+    ),
+    "check_fixed_type_keys": ("dim_encounter_type", _fixed_type_keys),
+    "check_service_category_coverage": ("fact_encounters", _service_categories),
+}

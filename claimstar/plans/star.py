@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from claimstar.functions.joins import KEY_ROWS
 from claimstar.operators import dims, enrich, facts, quality
+from claimstar.sources.contracts import CONTRACTS
 from claimstar.sources.inputs import stage
 
 # Published tables in an order in which every table follows the ones it reads.
@@ -45,7 +46,8 @@ class Star:
 
     ``stored`` holds tables that were already written; whatever reads them then starts from
     storage instead of recomputing them. ``key_rows`` bounds the value sets of encounter groups,
-    encounter types and service categories (see ``functions.joins.bounded``).
+    encounter types and service categories (see ``functions.joins.bounded``); with None the means of
+    monthly scores are not taken as small either.
     """
 
     def __init__(
@@ -62,6 +64,7 @@ class Star:
         self.stored = dict(stored or {})
         self.key_rows = key_rows
         self._staged: dict[str, DataFrame] = {}
+        self._composed: dict[str, DataFrame] = {}
 
     def input(self, name: str) -> DataFrame:
         """Staged input relation."""
@@ -75,7 +78,17 @@ class Star:
             return self.stored[name]
         if name not in TABLES and name not in INTERMEDIATES:
             raise KeyError(name)
-        return getattr(self, f"_{name}")()
+        if name not in self._composed:
+            self._composed[name] = getattr(self, f"_{name}")()
+        return self._composed[name]
+
+    def forget(self) -> None:
+        """Compose tables anew from now on, so that they start from what is stored by then."""
+        self._composed.clear()
+
+    def resolve(self, name: str) -> DataFrame:
+        """A published or intermediate table or a staged input, whichever has the name."""
+        return self.input(name) if name in CONTRACTS else self.table(name)
 
     def _dim_data_source(self) -> DataFrame:
         return dims.data_source(
@@ -114,8 +127,9 @@ class Star:
         )
 
     def _member_month_risk(self) -> DataFrame:
+        mean_rows = None if self.key_rows is None else enrich.MEAN_ROWS
         return enrich.member_month_risk(
-            self.input("member_month"), self.input("risk_scores_monthly")
+            self.input("member_month"), self.input("risk_scores_monthly"), mean_rows
         )
 
     def _fact_encounters(self) -> DataFrame:
@@ -162,7 +176,10 @@ class Star:
 
     def _fact_member_months(self) -> DataFrame:
         return facts.member_months(
-            self.input("member_month"), self.input("risk_scores_monthly"), self.input("cost")
+            self.input("member_month"),
+            self.input("risk_scores_monthly"),
+            self.input("cost"),
+            self.table("member_month_risk"),
         )
 
     def _fact_pharmacy_claims(self) -> DataFrame:
@@ -193,19 +210,34 @@ class RulesViolated(Exception):
         self.violations = violations
 
 
-def _stop_on_violations(star: Star, rules: Iterable[quality.Rule]) -> None:
-    rules = list(rules)
-    if not rules:
-        return
+def _stop_on(broken: dict[tuple[str, str, str], int]) -> None:
+    if any(broken.values()):
+        raise RulesViolated({key: n for key, n in broken.items() if n})
 
-    def resolve(name: str) -> DataFrame:
-        return star.table(name) if name in TABLES else star.input(name)
 
-    broken = quality.run(resolve, rules).filter("violations > 0").collect()  # a row per rule at most
-    if broken:
-        raise RulesViolated(
-            {(r.check_name, r.table_name, r.column_names): r.violations for r in broken}
-        )
+def _stop_on_violations(star: Star, rules: Sequence[quality.Rule]) -> None:
+    if rules:
+        counted = quality.run(star.resolve, rules).filter("violations > 0").collect()  # a row a rule
+        _stop_on({(r.check_name, r.table_name, r.column_names): r.violations for r in counted})
+
+
+def _observed(frame: DataFrame, rules: Sequence[quality.Rule]) -> tuple[DataFrame, Callable[[], dict]]:
+    """The frame, and the nulls that its writing will have seen by not_null rule.
+
+    A task that runs again after its executor was lost may count its nulls twice; none stays none.
+    """
+    metrics = quality.null_metrics(rules)
+    if not metrics:
+        return frame, dict
+    observation = Observation()
+    named = [column.alias(f"n{at}") for at, column in enumerate(metrics.values())]
+    observed = frame.observe(observation, *named)
+
+    def counts() -> dict[tuple[str, str, str], int]:
+        seen = observation.get
+        return {(r.check, r.table, r.columns[0]): seen[f"n{at}"] for at, r in enumerate(metrics)}
+
+    return observed, counts
 
 
 def build(
@@ -214,6 +246,7 @@ def build(
     sink,
     tables: Iterable[str] = TABLES,
     rules: Iterable[quality.Rule] = (),
+    coverage: Iterable[str] = (),
 ) -> dict[str, DataFrame]:
     """Rebuild ``tables`` into ``sink`` and return them as read back from it.
 
@@ -221,20 +254,33 @@ def build(
     at most the tasks of the table at hand. The wanted tables are always computed from the inputs:
     ``star`` itself is not changed, so a build, failed or not, can be repeated with it.
 
-    Of ``rules`` (``quality.RULES``, for instance) those of a stored table run right after it, over
-    the stored copy; the first table that breaks any stops the build with ``RulesViolated``.
+    Of ``rules`` (``quality.RULES``, for instance) those of a table are checked with it: nulls are
+    counted while it is written, so they cost no scan of
+    their own, the others run over the stored copy. Assertions named in ``coverage`` (of
+    ``quality.COVERAGE``) run right after the last table they need. What breaks any of them stops the
+    build with ``RulesViolated``.
     """
-    wanted = set(tables)
+    wanted, coverage = set(tables), list(coverage)
     unknown = wanted - set(TABLES)
     if unknown:
         raise KeyError(f"not a published table: {sorted(unknown)}")
+    if not set(coverage) <= set(quality.COVERAGE):
+        raise KeyError(f"not a coverage assertion: {sorted(set(coverage) - set(quality.COVERAGE))}")
     kept = {name: frame for name, frame in star.stored.items() if name not in wanted}
     own = Star(star.inputs, star.run_ts, star.specialty_threshold, kept, star.key_rows)
     rules = list(rules)
     for name in TABLES:
         if name in wanted:
+            ruled = [r for r in rules if r.table == name]
             frame = own.table(name)
-            sink.write(name, frame)
+            observed, nulls = _observed(frame, ruled)
+            sink.write(name, observed)
             own.stored[name] = sink.read(spark, name, frame)
-            _stop_on_violations(own, [r for r in rules if r.table == name])
+            own.forget()
+            _stop_on(nulls())
+            _stop_on_violations(own, [r for r in ruled if r.check != "not_null"])
+        for check in coverage:
+            last, uncovered = quality.COVERAGE[check]
+            if last == name:
+                _stop_on({("coverage", name, check): uncovered(own.resolve).count()})
     return {name: own.stored[name] for name in TABLES if name in wanted}

@@ -11,6 +11,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from claimstar.functions.columns import only
+
 STAMP = "last_run_ts"
 
 # The care settings for which member-month cost is split, in published order.
@@ -260,4 +262,4 @@ def conform(name: str, frame: DataFrame, columns: Iterable[str] | None = None) -
     exact = frame.withColumns(inexact) if inexact else frame
     if name in OPEN_CONTRACTS:
         return exact
-    return exact.select(*wanted)
+    return only(exact, wanted)

@@ -1,5 +1,7 @@
 """A full rebuild stores what the lazily composed tables compute."""
 
+from pathlib import Path
+
 import pytest
 from conftest import RUN_TS, SF_DIR
 
@@ -38,8 +40,8 @@ def test_stored_equals_lazy(spark, built, name):
 
 def test_partitioned_fact_has_one_folder_per_month(spark, built):
     sink, _, tables = built
-    path = sink.path("fact_claims")
-    assert path.endswith("/v1_fact_claims")
+    path = sink.location(spark, "fact_claims")
+    assert path.startswith(sink.path("fact_claims") + "/") and "/v1_fact_claims/" in path
     month = tables["fact_claims"].first()["year_month"]
     pruned = spark.read.parquet(path).filter(f"year_month = '{month}'")
     assert 0 < len(pruned.inputFiles()) <= 4 * 200
@@ -126,3 +128,79 @@ def test_a_build_can_be_repeated(spark, tmp_path, kind):
         build(spark, star, Breaks(sink), names)
     again = build(spark, star, sink, names)
     assert {n: f.count() for n, f in again.items()} == first
+
+
+class Crash(Exception):
+    pass
+
+
+def crash(*_):
+    raise Crash
+
+
+def versions(spark, sink, name):
+    if isinstance(sink, ParquetSink):
+        return [p for p in Path(sink.path(name)).iterdir() if p.is_dir()]
+    return sink._versions(spark, name)
+
+
+@pytest.mark.parametrize("kind", ["folders", "catalog"])
+@pytest.mark.parametrize("step", ["switch", "write"])
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path, monkeypatch, kind, step):
+    if kind == "folders":
+        sink = ParquetSink(str(tmp_path), "s_")
+    else:
+        spark.sql("CREATE DATABASE IF NOT EXISTS crashes")
+        sink = TableSink("crashes", f"{step}_")
+    old, new = spark.range(5), spark.range(7)
+    sink.write("t", old)
+    reader = sink.read(spark, "t", old)
+    if step == "switch":
+        monkeypatch.setattr(type(sink), "_switch", crash)
+        with pytest.raises(Crash):
+            sink.write("t", new)
+        monkeypatch.undo()
+    else:
+        with pytest.raises(Exception, match="no more"):
+            sink.write("t", new.selectExpr("if(id = 6, raise_error('no more'), id) as id"))
+    assert sink.read(spark, "t", old).count() == 5
+    assert len(versions(spark, sink, "t")) == 1  # the failed one is gone
+    sink.write("t", new)
+    assert sink.read(spark, "t", old).count() == 7
+    assert reader.count() == 5  # a query over the version before goes on
+    for n in (8, 9):
+        sink.write("t", spark.range(n))
+    assert sink.read(spark, "t", old).count() == 9 and len(versions(spark, sink, "t")) == 2
+
+
+def test_a_table_without_a_version_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        ParquetSink(str(tmp_path)).read(spark, "t", spark.range(1))
+
+
+def test_null_rules_are_counted_while_the_table_is_written(spark, tmp_path, monkeypatch):
+    names = ["dim_member", "dim_encounter_provider"]
+    rules = [r for r in quality.RULES if r.check == "not_null" and r.table in names]
+    monkeypatch.setattr(quality, "run", crash)  # no check reads a stored table again
+    with pytest.raises(RulesViolated) as stopped:
+        build(spark, lazy(spark), ParquetSink(str(tmp_path)), names, rules)
+    wanted = lazy(spark).table("dim_encounter_provider").filter("encounter_id is null").count()
+    assert stopped.value.violations == {("not_null", "dim_encounter_provider", "encounter_id"): wanted}
+
+
+def test_coverage_is_part_of_a_build(spark, tmp_path):
+    names = ["dim_encounter_group", "dim_encounter_type", "dim_service_category", "fact_encounters"]
+    broken = {}
+    for check in quality.COVERAGE:
+        try:
+            build(spark, lazy(spark), ParquetSink(f"{tmp_path}/{check}"), names, coverage=[check])
+        except RulesViolated as stopped:
+            broken |= stopped.violations
+    wanted = {}
+    for check, (table, uncovered) in quality.COVERAGE.items():
+        n = uncovered(lazy(spark).resolve).count()
+        if n:
+            wanted["coverage", table, check] = n
+    assert broken == wanted and wanted
+    with pytest.raises(KeyError):
+        build(spark, lazy(spark), ParquetSink(str(tmp_path)), names, coverage=["check_nothing"])

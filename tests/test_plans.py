@@ -1,13 +1,15 @@
 """Plans: pushdown, pruning, no Python in the data path, checked broadcasts, split hot keys."""
 
+import re
+
 import pytest
 from conftest import RUN_TS, SF_DIR
 
 import __spark_entry__ as registry
 from claimstar.functions.joins import bounded, left_join_null_safe, skew_splittable_join
-from claimstar.operators import dims, facts
+from claimstar.operators import dims, enrich, facts
 from claimstar.plans.star import INTERMEDIATES, TABLES, Star
-from claimstar.sources.contracts import schema
+from claimstar.sources.contracts import COST_MEASURES, schema
 from claimstar_oracle.binding import BoundInputs
 
 
@@ -249,6 +251,70 @@ def test_member_month_counts_are_splittable(spark, settings):
     assert "skew=true" in physical(joined)
 
 
+def moved(frame) -> list[str]:
+    """The columns of every exchange of the plan that Spark starts with."""
+    plan = frame._jdf.queryExecution().explainString(
+        frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    return re.findall(r"\) Exchange\s+Input \[\d+\]: \[(.*?)\]\n", plan)
+
+
+def month_inputs(spark, hot=False):
+    """Months, scores and costs; hot: a third of all months are one person's, of one month and payer."""
+    third = "id % 3 = 0" if hot else "false"
+    keys = [
+        f"if({third}, 'unknown', 'p' || id % 4000) as person_id",
+        f"if({third} or id % 5 = 0, null, 'm' || id % 7) as member_id",
+        f"if({third}, '202401', concat('2024', lpad(cast(1 + id % 12 as string), 2, '0'))) as year_month",
+        "'a' as data_source",
+        f"if({third} or id % 2 = 1, null, 'x') as payer",
+        "'y' as plan",
+    ]
+    ids = spark.range(0, 30_000 if hot else 3000, 1, 8)
+    months = ids.selectExpr(
+        *keys, "cast(id as string) as member_month_id", "'2024' as year_nbr", "timestamp_seconds(id) as last_run_ts",
+        "repeat(md5(cast(id as string)), 2) as pad",
+    )
+    scores = spark.range(4000).selectExpr(
+        "'p' || id as person_id", "'a' as data_source", "if(id % 2 = 0, 'x', null) as payer",
+        "make_date(2024, cast(1 + id % 12 as int), 28) as collection_end_date",
+        "cast(id % 9 as decimal(18,2)) as normalized_risk_score", "'v' as risk_model_code",
+    )
+    amounts = [f"cast(1 as decimal(18,2)) as {c}" for c in COST_MEASURES]
+    costs = spark.range(3000).selectExpr(*keys, *amounts)
+    return months, scores, costs.dropDuplicates(["person_id", "member_id", "year_month", "payer"])
+
+
+def test_whole_months_move_twice(spark, settings):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.debug.maxToStringFields": "500"})
+    months = facts.member_months(*month_inputs(spark))
+    assert sum("last_run_ts" in columns for columns in moved(months)) == 2
+    wide = [columns for columns in moved(months) if COST_MEASURES[0] in columns]
+    assert len(wide) == 1 and "member_month_id" not in wide[0]  # costs move once, apart from months
+
+
+def test_scores_do_not_move_for_their_means(spark, settings):
+    _, scores, _ = month_inputs(spark)
+    assert not any("person_id" in columns for columns in moved(enrich.monthly_risk(scores)))
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    shuffled = enrich.monthly_risk(scores, mean_rows=None)
+    assert any("person_id" in columns for columns in moved(shuffled))
+    assert sorted(shuffled.collect(), key=str) == sorted(enrich.monthly_risk(scores).collect(), key=str)
+    with pytest.raises(Exception, match="more than 3 rows"):
+        enrich.monthly_risk(scores, mean_rows=3).collect()
+
+
+def test_months_of_a_hot_member_are_split(spark, settings):
+    settings(SKEWED)
+    months = facts.member_months(*month_inputs(spark, hot=True))
+    frame = months.select("person_id", "total_year_months", "member_month_id", COST_MEASURES[0])
+    rows = frame.collect()
+    assert "skew=true" in physical(frame)
+    hot = [r for r in rows if r["person_id"] == "unknown"]
+    assert len(hot) == 10_000 and {r["total_year_months"] for r in hot} == {10_000}
+    assert len({r["member_month_id"] for r in rows}) == 30_000
+
+
 def test_empty_inputs_give_empty_tables(spark):
     from claimstar.sources.contracts import CONTRACTS
 

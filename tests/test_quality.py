@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from claimstar.operators import quality
 from claimstar.operators.quality import Rule
@@ -124,3 +125,45 @@ def test_keys_of_several_columns_are_not_mixed_up(spark):
     assert rows(quality.run({"pairs": pairs}.__getitem__, [rule]), "violations") == [(0,)]
     twice = {"pairs": pairs.union(pairs)}.__getitem__
     assert rows(quality.run(twice, [rule]), "violations") == [(6,)]
+
+
+def test_colliding_hashes_are_settled_by_the_keys(tables, monkeypatch):
+    """Every key has the same hash: all uniqueness rules are suspected, and counted exactly."""
+    rules = [
+        Rule("unique", "child", ("id",)),
+        Rule("unique", "parent", ("id",)),
+        Rule("unique_combination", "child", ("id", "source")),
+        Rule("unique_combination", "child", ("id", "source", "label")),
+    ]
+    assert quality.suspected(tables, rules) == [rules[0], rules[2]]
+    counts = rows(quality.run(tables, rules), "table_name", "column_names", "violations")
+    keys = rows(quality.violating_keys(tables, rules), "column_names", "key", "n_rows")
+    monkeypatch.setattr(quality, "_key_hash", lambda rule: F.lit(7).cast("long"))
+    assert quality.suspected(tables, rules) == [rules[0], rules[2], rules[3], rules[1]]
+    assert rows(quality.run(tables, rules), "table_name", "column_names", "violations") == counts
+    assert rows(quality.violating_keys(tables, rules), "column_names", "key", "n_rows") == keys
+
+
+def test_keys_that_look_alike_differ(spark):
+    pairs = [("a|b", "c"), ("a", "b|c"), (None, "N"), ("N", None), ("1:a", "-"), ("1:a-", None), ("", None), (None, "")]
+    frame = spark.createDataFrame(pairs, "x string, y string")
+    rule = Rule("unique_combination", "t", ("x", "y"))
+    assert quality._repeated_keys(frame, [rule]).isEmpty()
+    assert quality.suspected({"t": frame}.__getitem__, [rule]) == []
+    twice = frame.union(frame)
+    found = quality.violating_keys({"t": twice}.__getitem__, [rule])
+    assert sorted(r["n_rows"] for r in found.collect()) == [2] * len(pairs)
+
+
+def test_nothing_violated_is_an_empty_result(tables):
+    rules = [Rule("unique", "parent", ("id",))]
+    assert quality.violating_keys(tables, rules).isEmpty()
+    assert rows(quality.run(tables, rules), "violations") == [(0,)]
+
+
+def test_violations_of_a_kind_share_one_pass(tables):
+    rules = [Rule("not_null", "child", (c,)) for c in ("id", "source", "label")]
+    found = quality.violating_keys(tables, rules)
+    assert rows(found, "column_names", "key", "n_rows") == [("id", "\\N", 1), ("label", "\\N", 1), ("source", "\\N", 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
