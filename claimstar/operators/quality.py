@@ -159,19 +159,12 @@ def _count_rows(rule: Rule, broken: DataFrame) -> DataFrame:
 
 def _null_counts(table: str, frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null counts of several columns in one pass, one result row per column."""
-    counts = frame.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("violations")
-                )
-                for c in columns
-            ]
-        ).alias("counts")
-    )
-    return counts.select(F.explode("counts").alias("c")).select(
-        *_result("not_null", table, F.col("c.column"), F.col("c.violations"))
-    )
+    counted = [
+        f"struct('not_null' as check_name, '{table}' as table_name, '{c}' as column_names,"
+        f" count_if(`{c}` is null) as violations)"
+        for c in columns
+    ]
+    return frame.agg(F.expr(f"array({', '.join(counted)}) as counts")).selectExpr("inline(counts)")
 
 
 def _key(rule: Rule) -> Column:
@@ -208,30 +201,36 @@ def _pairs(frame: DataFrame, rules: Sequence[Rule], value: Callable[[Rule], Colu
     return pairs.filter("key is not null")
 
 
-def _counts_of(found: DataFrame, rules: Sequence[Rule], number: Callable[[int], Column]) -> DataFrame:
+def _counts_of(found: DataFrame, rules: Sequence[Rule], number: Callable[[int], str]) -> DataFrame:
     """One result row per rule: a number over the rows found, which carry the number of their rule."""
-    counts = F.array(
-        *[
-            F.struct(
-                F.lit(r.check).alias("check_name"),
-                F.lit(r.table).alias("table_name"),
-                F.lit(",".join(r.columns)).alias("column_names"),
-                number(n).alias("violations"),
-            )
-            for n, r in enumerate(rules)
-        ]
-    )
-    return found.agg(counts.alias("counts")).select(F.inline("counts"))
+    counted = [
+        f"struct('{r.check}' as check_name, '{r.table}' as table_name,"
+        f" '{','.join(r.columns)}' as column_names, {number(n)} as violations)"
+        for n, r in enumerate(rules)
+    ]
+    return found.agg(F.expr(f"array({', '.join(counted)}) as counts")).selectExpr("inline(counts)")
+
 
+def _of_rule(n: int) -> str:
+    return f"count_if(rule = {n})"
 
-def _of_rule(n: int) -> Column:
-    return F.count_if(F.col("rule") == n)
 
+def _repeated_probes(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """How many keys of each single-column rule, and key hashes of each other rule, occur again.
 
-def _repeated_hashes(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """How many key hashes of each rule occur more than once. Twelve bytes a row move, and a count."""
-    hashed = _pairs(frame, rules, _key_hash).groupBy("rule", "key").agg(F.count("*").alias("n_rows"))
-    return _counts_of(hashed.filter("n_rows > 1"), rules, _of_rule)
+    Of keys of several columns, twelve bytes and a count move a row, however long they are.
+    """
+
+    def probe(rule: Rule) -> Column:
+        single = len(rule.columns) == 1
+        text = F.col(rule.columns[0]).cast("string") if single else F.lit(None).cast("string")
+        number = F.lit(None).cast("long") if single else _key_hash(rule)
+        known = text.isNotNull() if single else F.lit(True)
+        return F.when(known, F.struct(number.alias("hash"), text.alias("text")))
+
+    probes = _pairs(frame, rules, probe).groupBy("rule", "key.hash", "key.text")
+    counted = probes.agg(F.count("*").alias("n_rows"))
+    return _counts_of(counted.filter("n_rows > 1"), rules, _of_rule)
 
 
 def _repeated_keys(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -254,31 +253,35 @@ def _by_table(rules: Iterable[Rule], *checks: str) -> dict[str, list[Rule]]:
 UNIQUENESS = ("unique", "unique_combination")
 
 
-def suspected(tables: Tables, rules: Iterable[Rule]) -> list[Rule]:
-    """The uniqueness rules of which some 64-bit key hash occurs more than once; all others hold.
+def probed(tables: Tables, rules: Iterable[Rule]) -> dict[Rule, int]:
+    """Per uniqueness rule how many of its keys repeat; of keys of several columns, how many hashes.
 
-    One job over all tables, started here; a row per rule comes back.
+    A rule none of whose hashes repeats holds. One job over all tables, started here; a row per rule
+    comes back.
     """
     grouped = _by_table(rules, *UNIQUENESS)
     if not grouped:
-        return []
-    counts = union_all([_repeated_hashes(tables(t), same) for t, same in grouped.items()])
-    found = {
-        (r.check_name, r.table_name, r.column_names)
-        for r in counts.filter("violations > 0").collect()
-    }
+        return {}
+    counts = union_all([_repeated_probes(tables(t), same) for t, same in grouped.items()])
+    found = {(r.check_name, r.table_name, r.column_names): r.violations for r in counts.collect()}
     listed = [r for same in grouped.values() for r in same]
-    return [r for r in listed if (r.check, r.table, ",".join(r.columns)) in found]
+    return {r: found[r.check, r.table, ",".join(r.columns)] for r in listed}
+
+
+def _doubtful(counts: dict[Rule, int]) -> list[Rule]:
+    return [r for r, n in counts.items() if n and len(r.columns) > 1]
 
 
 def _duplicate_counts(tables: Tables, rules: Sequence[Rule]) -> list[DataFrame]:
-    """Duplicate keys in two steps: rules whose hashes all differ hold, the others are counted by key."""
-    doubtful = suspected(tables, rules)
-    certain = [r for r in rules if r.check in UNIQUENESS and r not in doubtful]
+    """Duplicate keys in two steps: rules with hashes that repeat are counted again, by whole keys."""
+    counts = probed(tables, rules)
+    doubtful = _doubtful(counts)
+    certain = [r for r in counts if r not in doubtful]
     results = []
     if certain:
         nothing = tables(certain[0].table).sparkSession.range(0)
-        results.append(_counts_of(nothing, certain, lambda n: F.lit(0).cast("long")))
+        number = lambda n: f"cast({counts[certain[n]]} as bigint)"
+        results.append(_counts_of(nothing, certain, number))
     for table, same in _by_table(doubtful, *UNIQUENESS).items():
         results.append(_counts_of(_repeated_keys(tables(table), same), same, _of_rule))
     return results
@@ -306,7 +309,7 @@ def _orphan_keys(frame: DataFrame, rules: Sequence[Rule], tables: Tables) -> Dat
 
 
 def _orphan_counts(frame: DataFrame, rules: Sequence[Rule], tables: Tables) -> DataFrame:
-    rows_of = lambda n: F.coalesce(F.sum(F.when(F.col("rule") == n, F.col("n_rows"))), F.lit(0))
+    rows_of = lambda n: f"coalesce(sum(if(rule = {n}, n_rows, null)), 0)"
     return _counts_of(_orphan_keys(frame, rules, tables), rules, rows_of)
 
 
@@ -346,8 +349,8 @@ def violating_keys(tables: Tables, rules: Iterable[Rule]) -> DataFrame:
     """The violations of several rules in one shape: check_name, table_name, column_names, key, n_rows.
 
     The key is that of the rule as text, null parts written as \\N; rows with a null come as a number.
-    Rules of one kind and table share one pass, and uniqueness rules that ``suspected`` clears need
-    none beyond its own.
+    Rules of one kind and table share one pass, and rules of several columns that ``probed`` clears
+    need none beyond its own.
     """
     rules = list(rules)
     found = []
@@ -355,7 +358,9 @@ def violating_keys(tables: Tables, rules: Iterable[Rule]) -> DataFrame:
         nulls = _null_counts(table, tables(table), [r.columns[0] for r in same])
         nulls = nulls.filter("violations > 0").withColumnRenamed("violations", "n_rows")
         found.append(nulls.withColumn("key", F.lit("\\N")))
-    for table, same in _by_table(suspected(tables, rules), *UNIQUENESS).items():
+    whole = [r for r in rules if len(r.columns) == 1]
+    whole += _doubtful(probed(tables, [r for r in rules if len(r.columns) > 1]))
+    for table, same in _by_table(whole, *UNIQUENESS).items():
         found.append(_named(_repeated_keys(tables(table), same), same, "shown"))
     for table, same in _by_table(rules, "relationship").items():
         found.append(_named(_orphan_keys(tables(table), same, tables), same, "key"))
@@ -375,8 +380,8 @@ def run(tables: Tables, rules: Iterable[Rule] = RULES) -> DataFrame:
     """One row per rule: check_name, table_name, column_names, violations.
 
     ``tables`` maps a name to a DataFrame, best to a stored table. All null checks of a table
-    share one scan, and so do all its uniqueness checks and all its relationships. Uniqueness is first
-    decided by hashes (``suspected``, a job of its own), and by whole keys where hashes repeat.
+    share one scan, and so do all its uniqueness checks and all its relationships. Uniqueness is counted
+    by a job of its own (``probed``), and again by whole keys where hashes of several columns repeat.
     """
     rules = list(rules)
     for rule in rules:

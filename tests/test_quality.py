@@ -135,11 +135,11 @@ def test_colliding_hashes_are_settled_by_the_keys(tables, monkeypatch):
         Rule("unique_combination", "child", ("id", "source")),
         Rule("unique_combination", "child", ("id", "source", "label")),
     ]
-    assert quality.suspected(tables, rules) == [rules[0], rules[2]]
+    assert quality.probed(tables, rules) == dict(zip(rules, [2, 0, 2, 0]))
     counts = rows(quality.run(tables, rules), "table_name", "column_names", "violations")
     keys = rows(quality.violating_keys(tables, rules), "column_names", "key", "n_rows")
     monkeypatch.setattr(quality, "_key_hash", lambda rule: F.lit(7).cast("long"))
-    assert quality.suspected(tables, rules) == [rules[0], rules[2], rules[3], rules[1]]
+    assert quality.probed(tables, rules) == dict(zip(rules, [2, 0, 1, 1]))
     assert rows(quality.run(tables, rules), "table_name", "column_names", "violations") == counts
     assert rows(quality.violating_keys(tables, rules), "column_names", "key", "n_rows") == keys
 
@@ -149,7 +149,7 @@ def test_keys_that_look_alike_differ(spark):
     frame = spark.createDataFrame(pairs, "x string, y string")
     rule = Rule("unique_combination", "t", ("x", "y"))
     assert quality._repeated_keys(frame, [rule]).isEmpty()
-    assert quality.suspected({"t": frame}.__getitem__, [rule]) == []
+    assert quality.probed({"t": frame}.__getitem__, [rule]) == {rule: 0}
     twice = frame.union(frame)
     found = quality.violating_keys({"t": twice}.__getitem__, [rule])
     assert sorted(r["n_rows"] for r in found.collect()) == [2] * len(pairs)
