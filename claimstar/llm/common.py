@@ -14,10 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir.
+
+    Where it is unset, a temporary one if the session runs on this machine alone, as in tests; on a
+    cluster, whose other machines could not read it, that is an error.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="claimstar-llm-"))
         configured = sc.getCheckpointDir()
     elif not sc.getCheckpointDir():
@@ -66,7 +72,8 @@ def labelled_sample(
     """(doc_id, text, label) of at most `rows` labelled documents outside the held-out bucket.
 
     The rows are those of least hash of the id, so the choice is the same at every run. The chosen
-    ids are at most `rows`, which bounds the broadcast; documents are read where they lie.
+    ids are at most `rows`, which bounds the broadcast; documents are read where they lie. Of several
+    texts of one id, that of least hash counts.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))
@@ -77,4 +84,6 @@ def labelled_sample(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    return docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    found = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(least)
+    return found.select("doc_id", F.col("least.text").alias("text"), "label")

@@ -21,12 +21,13 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimstar.llm import common
@@ -39,6 +40,8 @@ DEPTH = 6
 THRESHOLD = 0.5
 MASK = "[secret]"
 AROUND = 40  # pieces that hold the text around a candidate
+STEP = 64  # pieces of a block of sums
+CHUNK = 4096  # characters of a text that are masked at once
 
 # Forms of keys that providers publish, and words that name credentials.
 PROVIDERS = (
@@ -68,6 +71,39 @@ NUMBERS = (
 )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body over a value that is computed once, however often and deep the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda total, n: total + n)
+
+
+def _begins(pieces: Column) -> Column:
+    """Where each piece of a text begins, in code points.
+
+    Sums over blocks of `STEP` pieces, then within them: the work grows with the number of pieces,
+    where an array extended piece by piece would be copied as often as there are pieces.
+    """
+
+    def block(i: Column) -> Column:
+        return F.floor(i / STEP).cast("int")
+
+    def extended(sums: Column, n: Column) -> Column:
+        return F.concat(sums, F.array(F.element_at(sums, -1) + n))
+
+    def begins(sizes: Column) -> Column:
+        numbers = F.sequence(F.lit(0), block(F.size(sizes) - 1))
+        blocks = F.transform(numbers, lambda b: _sum(F.slice(sizes, b * STEP + 1, F.lit(STEP))))
+        starts = _let(blocks, lambda sums: F.aggregate(sums, F.array(F.lit(0)), extended))
+        within = lambda i: _sum(F.slice(sizes, block(i) * STEP + 1, i % STEP))
+        at = lambda starts: F.transform(sizes, lambda _, i: F.get(starts, block(i)) + within(i))
+        return _let(starts, at)
+
+    return _let(F.transform(pieces, F.length), begins)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, row, begin, secret, before, after: every candidate and the text around it.
 
@@ -77,44 +113,32 @@ def candidates(docs: DataFrame) -> DataFrame:
     plain = common.keyed(docs).where(F.col("text").rlike(_FORM))
     form = f"{_MARK}$1{_MARK}$2{_MARK}$3$4{_MARK}"
     marked = F.regexp_replace(F.translate("text", _MARK, " "), F.lit(_FORM), F.lit(form))
-    pieces = plain.select("doc_id", "row", F.split(marked, _MARK).alias("p"))
-    ends = F.aggregate(
-        F.transform("p", F.length),
-        F.array(F.lit(0)),
-        lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)),
-    )
-    found = pieces.select(
-        "doc_id",
-        "row",
-        "p",
-        ends.alias("ends"),
-        F.transform("p", lambda x: F.substring(x, -60, 60)).alias("heads"),
-        F.transform("p", lambda x: F.substring(x, 1, 40)).alias("tails"),
-    )
 
-    def before(i: Column) -> Column:
+    def found_in(p: Column) -> Column:
+        around = F.struct(
+            _begins(p).alias("begins"),
+            F.transform(p, lambda x: F.substring(x, -60, 60)).alias("heads"),
+            F.transform(p, lambda x: F.substring(x, 1, 40)).alias("tails"),
+        )
+        return _let(around, lambda z: F.transform(odd(p), lambda i: candidate(p, z, i)))
+
+    def odd(p: Column) -> Column:
+        return F.sequence(F.lit(1), F.size(p) - 2, F.lit(2))
+
+    def candidate(p: Column, z: Column, i: Column) -> Column:
         n = F.least(i, F.lit(AROUND))
-        return F.substring(F.array_join(F.slice("heads", i - n + 1, n), ""), -60, 60)
-
-    def after(i: Column) -> Column:
-        return F.substring(F.array_join(F.slice("tails", i + 2, F.lit(AROUND)), ""), 1, 40)
-
-    found = found.select(
-        "doc_id",
-        "row",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.size("p") - 2, F.lit(2)),
-                lambda i: F.struct(
-                    F.get("ends", i).alias("begin"),
-                    F.get("p", i).alias("secret"),
-                    before(i).alias("before"),
-                    after(i).alias("after"),
-                    (i % 4 == 1).alias("name"),
-                ),
-            )
-        ).alias("c"),
-    )
+        before = F.array_join(F.slice(z["heads"], i - n + 1, n), "")
+        after = F.array_join(F.slice(z["tails"], i + 2, F.lit(AROUND)), "")
+        return F.struct(
+            F.get(z["begins"], i).alias("begin"),
+            F.get(p, i).alias("secret"),
+            F.substring(before, -60, 60).alias("before"),
+            F.substring(after, 1, 40).alias("after"),
+            (i % 4 == 1).alias("name"),
+        )
+
+    pieces = F.split(marked, _MARK)
+    found = plain.select("doc_id", "row", F.explode(_let(pieces, found_in)).alias("c"))
     kept = F.when(F.col("c.name"), F.col("c.secret").rlike(f"^{_RUN}$")).otherwise(F.col("c.secret") != "")
     return found.where(kept).select("doc_id", "row", "c.begin", "c.secret", "c.before", "c.after")
 
@@ -219,29 +243,75 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     return sure.select("doc_id", "begin", end, "secret", "probability", "row")
 
 
-def redacted(docs: DataFrame, findings: DataFrame, by: str = "doc_id") -> DataFrame:
-    """The documents with every finding's text replaced by a mask and n_chars counted anew.
+def _spans(findings: DataFrame, by: str) -> DataFrame:
+    """claimstar_key, chunk, parts: the places to mask of each chunk; overlapping findings are one."""
+    found = findings.select(F.col(by).alias("claimstar_key"), "begin", "end")
+    found = found.where("claimstar_key is not null and begin < end").distinct()
+    one = Window.partitionBy("claimstar_key").orderBy("begin", "end")
+    earlier = F.max("end").over(one.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("begin") >= earlier, F.lit(True)).cast("int")
+    runs = found.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(one))
+    runs = runs.groupBy("claimstar_key", "run").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    first, last = F.floor(F.col("begin") / CHUNK), F.floor((F.col("end") - 1) / CHUNK)
+    split = runs.withColumn("chunk", F.explode(F.sequence(first, last)))
+    at = F.col("chunk") * CHUNK
+    part = F.struct(
+        F.greatest(F.col("begin") - at, F.lit(0)).cast("int").alias("begin"),
+        F.least(F.col("end") - at, F.lit(CHUNK)).cast("int").alias("end"),
+        F.when(F.col("begin") >= at, MASK).otherwise("").alias("mask"),
+    )
+    return split.groupBy("claimstar_key", "chunk").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+
+
+def redacted(docs: DataFrame, findings: DataFrame, by: str = "row") -> DataFrame:
+    """The documents with the place of every finding masked and n_chars counted anew.
 
-    Findings belong to documents by id, and rows without an id stay as they are; by "row", as `scan`
-    gives it, they belong to the rows they were found in, with or without an id.
+    Text outside of the findings' places stays, also where it equals a secret. Findings belong to the
+    rows they were found in, as `scan` gives them; by "doc_id", for findings from elsewhere, their
+    places are those of every text of that id, and rows without an id stay as they are. Places
+    beyond the end of a text mask nothing. Texts are worked on in chunks, so the work grows with
+    their length and not with that times the number of findings.
     """
     if by not in ("doc_id", "row"):
         raise ValueError("findings belong to documents by doc_id or by row")
+    spans = common.stored(_spans(findings, by), "secrets-by-document")
     key = common.row_key() if by == "row" else F.col("doc_id")
-    named = findings.where(F.col(by).isNotNull()).withColumn("claimstar_key", F.col(by))
-    by_doc = named.groupBy("claimstar_key")
-    lists = by_doc.agg(F.sort_array(F.collect_set("secret"), asc=False).alias("claimstar_secrets"))
-    lists = common.stored(lists, "secrets-by-document")
+    texts = docs.select(common.row_key().alias("claimstar_row"), key.alias("claimstar_key"), "text")
+    texts = texts.where("text is not null")
+    texts = texts.join(spans.select("claimstar_key").distinct(), "claimstar_key", "left_semi")
+    chunks = F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+    chunks = texts.dropDuplicates(["claimstar_row"]).select(
+        "claimstar_row", "claimstar_key", F.posexplode(chunks).alias("chunk", "part")
+    )
+    chunks = chunks.withColumn("chunk", F.col("chunk").cast("long"))
     masked = F.aggregate(
-        "claimstar_secrets", F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK))
+        "parts",
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda a, s: F.struct(
+            s["end"].alias("at"),
+            F.concat(
+                a["out"],
+                F.substring("part", a["at"] + 1, F.greatest(s["begin"] - a["at"], F.lit(0))),
+                F.when(s["begin"] < F.length("part"), s["mask"]).otherwise(""),
+            ).alias("out"),
+        ),
+        lambda a: F.concat(a["out"], F.substring("part", a["at"] + 1, F.lit(CHUNK))),
+    )
+    masked = F.when(F.col("parts").isNull(), F.col("part")).otherwise(masked)
+    rebuilt = (
+        chunks.join(spans, ["claimstar_key", "chunk"], "left")
+        .select("claimstar_row", F.struct("chunk", masked.alias("masked")).alias("piece"))
+        .groupBy("claimstar_row")
+        .agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+        .select("claimstar_row", F.array_join("pieces.masked", "").alias("claimstar_text"))
     )
-    text = F.when(F.col("claimstar_secrets").isNull(), F.col("text")).otherwise(masked)
-    out = docs.withColumn("claimstar_key", key).join(lists, "claimstar_key", "left").withColumn("text", text)
+    out = docs.withColumn("claimstar_row", common.row_key()).join(rebuilt, "claimstar_row", "left")
+    changed = F.col("claimstar_text").isNotNull()
+    new = {"text": F.coalesce("claimstar_text", "text")}
     if "n_chars" in docs.columns:
-        changed = F.col("claimstar_secrets").isNotNull()
-        kept = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", kept)
-    return out.select(*docs.columns)
+        size = F.length("claimstar_text").cast("long")
+        new["n_chars"] = F.when(changed, size).otherwise(F.col("n_chars"))
+    return out.withColumns(new).select(*docs.columns)
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
