@@ -7,6 +7,10 @@ short to tell stays ambiguous. The second pass gives ambiguous blocks the label
 decided neighbours: good between good ones, bad between bad ones, and otherwise that of the nearer;
 at equal distance bad, unless the block is nearly good itself or stands in the article.
 
+An article or main element counts where it holds most of the page's running text; a page whose article
+elements only tease other stories, or that has none, is decided by density, length and links alone.
+Headers are those of the page and of its sections, an article's own `header` element among them.
+
 Unclosed elements, truncated pages, unquoted attributes and stray angle brackets are read as
 browsers do, as far as the blocks depend on it. Nulls: a null page has no text. Rows of equal
 page_id are extracted one by one.
@@ -79,6 +83,25 @@ _NAMES = re.compile(r"(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^
 _LANG = re.compile(r"(?:^|\s)(?:xml:)?lang\s*=\s*[\"']?([a-zA-Z]{2})", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none", re.I)
 _NAME_WORDS = re.compile(r"[a-z]+").findall
+_HREF = re.compile(r"(?:^|\s)href(?:[\s=/]|$)", re.I)
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/$")  # not the end of an unquoted value
+
+# What names say beside what a block is, as in "nav-list" or "left-sidebar".
+_LAYOUT = frozenset(
+    "area bar body bottom box buttons col column container content footer group header icons inner"
+    " item items left link links list main menu outer page panel right row section site small top"
+    " widget wrap wrapper".split()
+)
+
+
+def _is_bad(name: str) -> bool:
+    """Whether a class, id or role says so: by its last word, or beside words of layout alone.
+
+    "site-footer" and "social-links" do, "social-science" does not.
+    """
+    words = _NAME_WORDS(name)
+    bad = [w for w in words if w in _BAD_NAMES]
+    return bool(bad) and (words[-1] in _BAD_NAMES or all(w in _BAD_NAMES or w in _LAYOUT for w in words))
 
 
 def _place(tag: str, attributes: str) -> int:
@@ -88,8 +111,9 @@ def _place(tag: str, attributes: str) -> int:
     if attributes:
         if _HIDDEN.search(attributes):
             return -1
-        words = {w for m in _NAMES.finditer(attributes) for w in _NAME_WORDS(m[1].lower())}
-        if tag not in ("body", "html") and tag not in _MAIN and words & _BAD_NAMES:
+        names = [n for m in _NAMES.finditer(attributes) for n in m[1].strip("\"'").lower().split()]
+        words = {w for n in names for w in _NAME_WORDS(n)}
+        if tag not in ("body", "html") and tag not in _MAIN and any(map(_is_bad, names)):
             return -1
         if words & _MAIN_NAMES and tag not in ("body", "html"):
             return 1
@@ -151,8 +175,8 @@ def blocks(html: str) -> tuple[list[Block], str | None]:
         if not tag:
             continue
         end, attributes = m[1] or m[4], m[3] or m[6] or ""
-        if tag == "a":
-            links = 0 if end else 1
+        if tag == "a":  # an anchor without an address is no link, but ends one
+            links = int(not end and bool(_HREF.search(attributes)))
         elif tag == "br":
             breaks += 1
             if breaks > 1:
@@ -163,6 +187,8 @@ def blocks(html: str) -> tuple[list[Block], str | None]:
             flush()
             breaks = 0
         if end:
+            if tag in ("p", "article"):
+                links = 0
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
                     close(depth)
@@ -170,11 +196,15 @@ def blocks(html: str) -> tuple[list[Block], str | None]:
             continue
         if tag == "html" and (lang := _LANG.search(attributes)):
             language = lang[1].lower()
-        if tag in _RAW and not attributes.endswith("/"):
+        closed = bool(_SELF_CLOSED.search(attributes))
+        if tag in _RAW and not closed:
             closing = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            at = closing.end() if closing else n  # its text is not the article's
+            if closing:
+                at = closing.end()  # its text is not the article's
+            elif tag in ("script", "style"):
+                at = n  # as browsers read it; other elements without an end hide nothing
             continue
-        if tag in _VOID or attributes.endswith("/"):
+        if tag in _VOID or closed:
             continue
         if tag in _BLOCK and stack and stack[-1][0] in ("p", "dt", "dd", "li", "option"):
             top = stack[-1][0]
@@ -203,10 +233,10 @@ def _decide(block: Block, article: bool, language: str | None) -> str:
     if block.place < 0 or (article and block.place == 0):
         return "bad"
     length = len(block.text)
+    if article:
+        return "good" if length >= SHORT else "short"
     if block.linked > LINKS * length:
         return "bad"
-    if block.place > 0:
-        return "good" if length >= SHORT else "short"
     if length < SHORT:
         return "short"
     density = _stop_density(block.text, language)
@@ -215,10 +245,19 @@ def _decide(block: Block, article: bool, language: str | None) -> str:
     return "near" if density >= STOPS_LOW else "bad"
 
 
+def _running(block: Block) -> int:
+    """Characters of the block outside of links, if it is long enough to be running text."""
+    length = len(block.text)
+    return length - block.linked if length >= SHORT and block.linked <= LINKS * length else 0
+
+
 def extract(html: str | None) -> str:
     """The page's main text: good blocks in order, two line feeds between them."""
     found, language = blocks(html or "")
-    article = any(b.place > 0 for b in found)
+    # The page's own article holds most of its running text. Articles that only tease others, beside
+    # a text in plain elements, do not, and then density, length and links decide everywhere.
+    running = {place: sum(_running(b) for b in found if b.place == place) for place in (0, 1)}
+    article = any(b.place > 0 for b in found) and running[1] >= running[0]
     for b in found:
         b.label = _decide(b, article, language)
     # Blocks that their place rules out say nothing about the text around them.
@@ -232,8 +271,8 @@ def extract(html: str | None) -> str:
             label = b.label
         elif b.place < 0:
             label = "bad"
-        elif b.place > 0:
-            label = "good"  # all decided neighbours in the article are good or links
+        elif b.place > 0 and article:
+            label = "good"  # all decided neighbours in the article are good
         else:
             left = decided[before] if before >= 0 else None
             right = decided[before + 1] if before + 1 < len(decided) else None
