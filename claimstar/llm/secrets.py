@@ -57,8 +57,10 @@ PROVIDERS = (
 CREDENTIALS = "(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key|bearer)"
 _ASSIGNED = CREDENTIALS + "[\\w-]*[\"']?\\s*(=|:|=>|:=|\\s)\\s*[\"']?$"
 
-_RUN = "[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=\"'-]))?" % MIN_LENGTH  # not the = of an assignment
-_NAME = "[\\w-]{0,64}" + re.sub(r"\((?!\?)", "(?:", CREDENTIALS) + "[\\w-]*"
+# Runs and names begin where no character of theirs stands before, so a word is tried once, not at each
+# of its letters.
+_RUN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=\"'-]))?" % MIN_LENGTH  # not the = of an assignment
+_NAME = "(?<![\\w-])[\\w-]*" + re.sub(r"\((?!\?)", "(?:", CREDENTIALS) + "[\\w-]*"
 _VALUE = "[^\\s\"',;<>]*[^\\s\"',;<>.)\\]}]"
 _FORM = f"({_NAME})([\"']?\\s*(?::=|=>|=|:)\\s*[\"']?)({_VALUE})|({_RUN})"
 _MARK = "\u0001"
