@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -247,6 +248,91 @@ def test_mixing_base_and_gain(spark, corpus):
         assert r["score"] < 0
 
 
+def test_mixing_does_not_depend_on_splits(spark, corpus):
+    """Parts are stored with the rows: scans that are split otherwise later find the same words."""
+    rows = [(i, t) for i, t in corpus if i is not None]
+    docs = documents(spark, rows).repartition(3)
+    whole = {str(r) for r in mixing.scores(docs, 5, 1).select("doc_id", "n_tokens", "n_known", "base_score").collect()}
+    found = mixing.scores(docs, 5, 1, part_bytes=500)
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.minPartitionNum", "23")
+    try:
+        later = {str(r) for r in found.select("doc_id", "n_tokens", "n_known", "base_score").collect()}
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+        else:
+            spark.conf.set("spark.sql.files.minPartitionNum", before)
+    assert later == whole
+
+
+def test_words_of_parts_are_counted_apart():
+    """Each stretch of a part has all of its words; a part's rows of two stretches add up."""
+    texts = ["a b a", None, "b c", "a", "b b"]
+    parts, learn = [7, 7, 9, 9, 7], [True, False, False, True, True]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(parts, pa.int64()), pa.array(range(5), pa.int64()), pa.array(learn), pa.array(texts)],
+        ["part", "doc_id", "learn", "text"],
+    )
+    found = Counter()
+    for b in mixing._count_words(iter([batch.slice(0, 3), batch.slice(3)])):
+        for r in b.to_pylist():
+            found[r["part"], r["key"]] += r["n"]
+    t = mixing.tokens(["a b c"])
+    a, b, c, end = (int(k) for k in t.key)
+    assert found == {(7, a): 2, (7, b): 3, (7, end): 2, (9, a): 1, (9, b): 0, (9, c): 0, (9, end): 1}
+
+
+def test_mixing_scores_as_a_plain_loop_does():
+    """The vectorised score of a text against one written token by token and bit by bit."""
+    random = np.random.default_rng(3)
+    model = mixing.Model(
+        logit=random.normal(0, 1, mixing.SLOTS),
+        level=random.integers(0, 3, mixing._WIDTH[3]),
+        weight=random.normal(0.25, 0.1, (mixing.GATES, mixing.PREDICTORS)),
+        refined=random.uniform(0.1, 0.9, (256, mixing.BUCKETS)),
+        repeat=random.uniform(0.05, 0.5, mixing.REPEATS),
+        class_tokens=np.ones(256),
+        class_words=np.ones(256),
+        n_tokens=256,
+    )
+    texts = ["the cat sat on the mat the cat", "", "word", " ".join(prose(5, 3))]
+    t = mixing.tokens(texts)
+    static = model.class_logprob(t)
+    mixed = model.mixed(static, t)
+    at = 0
+    for text in texts:
+        words = text.split() + [None]
+        two = one = mixing.START
+        seen, again, last = Counter(), 0, 0
+        for place, word in enumerate(words):
+            cls, p_class = int(t.cls[at]), 1.0
+            for b in range(7, -1, -1):
+                node, bit = 1 << (7 - b) | cls >> (b + 1), cls >> b & 1
+                slots = (
+                    node,
+                    mixing._OFFSET[1] + one * 256 + node,
+                    mixing._OFFSET[2] + two * 256 + node,
+                    mixing._OFFSET[3] + (one * mixing.GROUPS + two * 7 % mixing.GROUPS) * 256 + node,
+                )
+                gate = node * 3 + model.level[slots[3] - mixing._OFFSET[3]]
+                z = sum(model.weight[gate, i] * model.logit[s] for i, s in enumerate(slots))
+                cell = min(max(int((z + 6) * mixing.BUCKETS / 12), 0), mixing.BUCKETS - 1)
+                p = 0.5 / (1 + np.exp(-z)) + 0.5 * model.refined[node, cell]
+                p_class *= p if bit else 1 - p
+            assert static[at] == pytest.approx(np.log(p_class))
+            context = min(int(np.log2(place + 1)), 7) * 32 + min(int(again / max(place, 1) * 16), 15) * 2 + last
+            share = model.repeat[context] if place else 0.0
+            expected = (1 - share) * p_class + share * seen[word] / max(place, 1)
+            assert mixed[at] == pytest.approx(np.log(expected))
+            last = int(seen[word] > 0)
+            again += last
+            seen[word] += 1
+            one, two = cls, one
+            at += 1
+    assert at == len(t.cls)
+
+
 def test_empty_tables(spark):
     docs = documents(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
