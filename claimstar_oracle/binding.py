@@ -81,9 +81,11 @@ def _order_months(read: Read) -> DataFrame:
 
 
 def _lines(read: Read) -> DataFrame:
+    # Lines and orders both grow, so they meet by a shuffle at every size: a small file of lines would
+    # be broadcast instead, and all columns of all lines computed by the tasks that read orders.
     return (
         read("lineitem")
-        .join(_orders(read), F.expr("l_orderkey = o_orderkey"))
+        .join(_orders(read).hint("merge"), F.expr("l_orderkey = o_orderkey"))
         .join(read("part"), F.expr("l_partkey = p_partkey"))
     )
 
