@@ -80,16 +80,20 @@ def _order_months(read: Read) -> DataFrame:
     )
 
 
-def _lines(read: Read) -> DataFrame:
-    # Lines and orders both grow, so they meet by a shuffle at every size: a small file of lines would
-    # be broadcast instead, and all columns of all lines computed by the tasks that read orders.
+def _lines(read: Read, how: str | None = None) -> DataFrame:
+    orders = _orders(read).hint(how) if how else _orders(read)
     return (
         read("lineitem")
-        .join(_orders(read).hint("merge"), F.expr("l_orderkey = o_orderkey"))
+        .join(orders, F.expr("l_orderkey = o_orderkey"))
         .join(read("part"), F.expr("l_partkey = p_partkey"))
     )
 
 
+def _shuffled_lines(read: Read) -> DataFrame:
+    """Lines of a table that shuffles none of its own: a broadcast leaves them to the tasks of orders."""
+    return _lines(read, "merge")
+
+
 def _days(read: Read) -> DataFrame:
     ordered = read("orders").select(F.col("o_orderdate").cast("date").alias("d"))
     shipped = read("lineitem").select(F.col("l_shipdate").cast("date").alias("d"))
@@ -103,6 +107,7 @@ LINES = Rows(
     "lineitem join orders on l_orderkey = o_orderkey"
     " join customer on o_custkey = c_custkey join part on l_partkey = p_partkey",
 )
+PHARMACY_LINES = Rows(_shuffled_lines, LINES.sql)
 CUSTOMERS = Rows(lambda read: _each_source(read("customer")), f"customer {_SQL_SOURCES}")
 GAPS = Rows(
     lambda read: _each_source(
@@ -286,7 +291,7 @@ _BOUND: dict[str, Binding] = {
         },
     ),
     "pharmacy_claim": Binding(
-        LINES,
+        PHARMACY_LINES,
         "l_suppkey",
         "cast(l_shipdate as date)",
         {
@@ -611,7 +616,7 @@ _RAW_SPECIAL = {
 
 def filler(column: str, kind: str, rows: Rows, key: str, day: str) -> str:
     """A value that depends on the column and, texts of claim lines apart, on a key of the row."""
-    if kind == "text" and rows is LINES:
+    if kind == "text" and rows.sql == LINES.sql:
         return f"'{column}'"
     spread = 5 + len(column) % 9
     if kind == "int":
