@@ -11,8 +11,10 @@ five more. Hence the keys of a fingerprint:
 * two of (codewords of both 23-bit segments, one half of the 18-bit segment exact), for the case of
   one error in each: the error spoils one half only.
 
-Distinct fingerprints are joined on these keys and verified by counting differing bits; the links
-are complete. Components come from alternating large-star and small-star steps over stored edges.
+Distinct fingerprints are joined on these keys and verified by counting differing bits. Keys that
+more than `CROWD` fingerprints are filed under are not joined: their members are dealt to cells (common.cells) in which any
+two of them meet, and each cell gives a spanning forest of its links instead of all of them, so the
+components are the same. They come from alternating large-star and small-star steps over stored edges.
 
 Nulls: a null text is an empty one and has fingerprint zero, linked like any other; a null doc_id
 takes part and is never a component's id unless all its ids are null. Rows of equal doc_id are
@@ -34,6 +36,7 @@ from claimstar.llm import common
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
+CROWD = 64  # most fingerprints filed under a key that a join compares with all that ask for it
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 _SPANS = ((41, 23), (18, 23), (0, 18))  # shift and bits of the segments
 
@@ -171,15 +174,41 @@ def _keyed(lookup: bool):
     return run
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Pairs (a, b), b < a, of distinct fingerprints that differ in at most `max_bits` <= 3 bits."""
+def _forests(max_bits: int):
+    def spanning(prints: np.ndarray) -> list[tuple[int, int]]:
+        bits = prints.view(np.uint64)
+        return common.forest(
+            len(bits), lambda i, rest: np.bitwise_count(bits[rest] ^ bits[i]) <= max_bits
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in common.whole_cells(batches):
+            prints = np.unique(cell.column("print").to_numpy())
+            edges = np.array(spanning(prints), np.int64).reshape(-1, 2)
+            pairs = np.sort(prints[edges], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(pairs[:, 0])], ["a", "b"])
+
+    return run
+
+
+def links(prints: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
+    """Pairs (a, b), b < a, of distinct fingerprints that differ in at most `max_bits` <= 3 bits.
+
+    All pairs but those that meet in crowded keys only; for these, pairs that connect the same ones.
+    """
     if not 0 <= max_bits <= 3:
         raise ValueError("the keys are complete for up to three differing bits")
     filed = prints.mapInArrow(_keyed(False), "key long, print long")
     asked = prints.mapInArrow(_keyed(True), "key long, print long")
+    crowded = filed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowd)
+    crowded = common.stored(crowded.select("key"), "crowded-keys")
     a, b = asked.withColumnRenamed("print", "a"), filed.withColumnRenamed("print", "b")
     differ = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return a.join(b, "key").where(F.col("b") < F.col("a")).where(differ <= max_bits).select("a", "b").distinct()
+    sparse = a.join(crowded, "key", "left_anti").join(b, "key").where(F.col("b") < F.col("a"))
+    sparse = sparse.where(differ <= max_bits).select("a", "b")
+    members = common.stored(asked.join(crowded, "key", "left_semi"), "crowds")
+    dense = common.cells(members, "key", "print").mapInArrow(_forests(max_bits), "a long, b long")
+    return sparse.union(dense).distinct()
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
