@@ -7,12 +7,18 @@ by all texts, each kept as one hex digit (a hash of step and character), '-' onc
 ended. Trailing '-' are dropped, so equal texts have equal fingerprints whatever their length, and
 texts of any length can be compared.
 
-`likeness` weighs each doubling by the steps it stands for. `near_pairs` bands the sampled digits,
-joins distinct fingerprints with each band's representative, and verifies the candidates.
+`likeness` weighs each doubling by the steps it stands for. `near_classes` bands the distinct
+fingerprints: a band is `BAND_DIGITS` digits sampled from a doubling and the one before, the same for
+all texts, and a fingerprint has `BANDS` of them for each of its last two full doublings, which hold
+most of the weight. Fingerprints below `EXACT` digits also have their last doubling in three runs: near
+ones differ in at most two digits there, so these miss none. Fingerprints that share a band are dealt
+to cells (common.cells) in which any two of a band meet, and verified by their likeness; a cell gives a
+spanning forest of its links, so every link within a band counts, and no group is written out as pairs.
 
 Nulls: a null text is an empty one, with the empty fingerprint. A null doc_id comes first, equal
 doc_ids are ordered by a hash of their texts; the last document's next is the least non-null id. A
-single document follows itself. An empty table gives an empty result.
+single document follows itself. A class without an id has a null class_id. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -23,10 +29,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimstar.llm import common
+from claimstar.llm import common, simhash
 
 SAMPLES = 16
 DOUBLINGS = 40
@@ -34,6 +42,10 @@ PERIOD = 4093
 CHANCE = 0.125  # of equal digits between unrelated texts
 CHUNK_CHARS = 12_000_000
 BAND_DIGITS = 8
+BANDS = 10  # for each of two doublings
+NEAR = 0.8  # least likeness of near fingerprints
+EXACT = 3 * SAMPLES
+_RUNS = ((0, 5), (5, 10), (10, SAMPLES))
 _DIGITS = np.frombuffer(b"0123456789abcdef-", np.uint8)
 _ABSENT = 16
 
@@ -124,10 +136,20 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - quarter] + following[:quarter]
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, a text, as a Zstandard frame of its UTF-8 bytes."""
+    compressor = zstandard.ZstdCompressor()
+    for batch in batches:
+        frames = [compressor.compress((t.as_py() or "").encode()) for t in batch.columns[-1]]
+        columns = [*batch.columns[:-1], pa.array(frames, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    decompressor = zstandard.ZstdDecompressor()
     for batch in batches:
         columns = [batch.column(i).to_pylist() for i in range(3)]
-        yield from zip(*columns, (t.as_py() or "" for t in batch.column(3)))
+        yield from zip(*columns, (decompressor.decompress(t.as_py()).decode() for t in batch.column(4)))
 
 
 def _compared(rows: list[tuple]) -> pa.RecordBatch:
@@ -164,9 +186,9 @@ def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(part, tail, doc_id, text), sorted in each task; each part ends with the next part's first row.
+    """(part, tail, doc_id, hash, text), sorted in each task; each part ends with the next one's first row.
 
-    Parts are ranges of doc_id between approximate quantiles, several to a task. Only the bounds and
+    Texts are compressed before they move. Parts are ranges of doc_id between approximate quantiles, several to a task. Only the bounds and
     each part's least id pass the driver, as many as there are parts; texts are shuffled once.
     """
     spark = docs.sparkSession
@@ -186,8 +208,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     firsts = spark.createDataFrame(before, "first long, part int")
     tails = plain.join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("first")))
     tails = tails.select("part", F.lit(True).alias("tail"), "doc_id", "text")
-    both = ranged.union(tails).repartition(tasks, "part")
-    return both.sortWithinPartitions("part", "tail", "doc_id", F.xxhash64("text"))
+    both = ranged.union(tails).select("part", "tail", "doc_id", F.xxhash64("text").alias("hash"), "text")
+    packed = both.mapInArrow(_compressed, "part int, tail boolean, doc_id long, hash long, text binary")
+    return packed.repartition(tasks, "part").sortWithinPartitions("part", "tail", "doc_id", "hash")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -195,30 +218,111 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return with_next(docs).mapInArrow(_fingerprinted, RESULT)
 
 
-def near_pairs(prints: DataFrame, least: float = 0.8) -> DataFrame:
-    """(a, b, near): distinct fingerprints near their band's representative, the least of the band.
-
-    Bands are runs of `BAND_DIGITS` sampled digits of one doubling. A band's fingerprints are joined
-    with one representative, so a large group makes as many rows as it has members, not pairs.
-    """
-    distinct = prints.select("fingerprint").distinct()
-    places = F.sequence(F.lit(0), F.length("fingerprint") - BAND_DIGITS, F.lit(BAND_DIGITS))
-    long = distinct.where(F.length("fingerprint") >= BAND_DIGITS)
-    banded = long.select("fingerprint", F.explode(places).alias("place"))
-    band = F.expr(f"substr(fingerprint, place + 1, {BAND_DIGITS})")
-    banded = banded.select("fingerprint", "place", band.alias("band"))
-    first = banded.groupBy("place", "band").agg(F.min("fingerprint").alias("b"))
-    joined = banded.join(first, ["place", "band"]).where("fingerprint > b")
-    candidates = joined.select(F.col("fingerprint").alias("a"), "b").distinct()
+@cache
+def _bands() -> np.ndarray:
+    """For each band of two doublings, the places of its digits from the start of the earlier one."""
+    random = np.random.default_rng(67)
+    return np.array(
+        [np.sort(random.choice(2 * SAMPLES, BAND_DIGITS, replace=False)) for _ in range(BANDS)]
+    )
+
+
+def band_texts(fingerprint: str) -> list[str]:
+    """The bands of a fingerprint: doubling, band or run, and digits."""
+    size = len(fingerprint)
+    full, found = size // SAMPLES, []
+    for end in range(max(full - 1, 2), full + 1):
+        window = fingerprint[(end - 2) * SAMPLES : end * SAMPLES]
+        for k, places in enumerate(_bands().tolist()):
+            found.append(f"{end}/{k}/" + "".join([window[i] for i in places]))
+    if size < EXACT:
+        # 33 digits or more are near fewer only with one digit beyond: both have the second doubling.
+        doubling = 0 if size <= SAMPLES else 1
+        last = fingerprint[doubling * SAMPLES : (doubling + 1) * SAMPLES].ljust(SAMPLES, "-")
+        found += [f"{doubling}:{a}:{last[a:b]}" for a, b in _RUNS]
+    return found
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints, bands = [], []
+        for print_id, text in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
+            found = band_texts(text)
+            prints += [print_id] * len(found)
+            bands += [xxhash.xxh64_intdigest(b) for b in found]
+        columns = [pa.array(np.array(bands, np.uint64).view(np.int64)), pa.array(prints, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["band", "print"])
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(i).to_pylist() for i in (0, 1))
-            near = pa.array([likeness(parse(x), parse(y)) for x, y in zip(a, b)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, near], ["a", "b", "near"])
 
-    return candidates.mapInArrow(verified, "a string, b string, near double").where(F.col("near") >= least)
+def likeness_to(own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """`likeness` of one row of digits, 16 beyond its end, to each of the others."""
+    _, _, _, doubling = _walk_tables()
+    there = (others != _ABSENT) | (own != _ABSENT)
+    weight = np.exp2(doubling[: len(own)].astype(float))
+    whole = there @ weight
+    equal = (there & (others == own)) @ weight
+    share = np.divide(equal, whole, out=np.ones(len(others)), where=whole > 0)
+    return np.maximum(0.0, (share - CHANCE) / (1 - CHANCE))
+
+
+def _verified(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in common.whole_cells(batches):
+            prints, first = np.unique(cell.column("print").to_numpy(), return_index=True)
+            texts = cell.column("fingerprint").take(pa.array(first)).to_pylist()
+            width = max(map(len, texts))
+            digits = np.full((len(texts), width), _ABSENT, np.uint8)
+            for row, text in zip(digits, texts):
+                row[: len(text)] = parse(text)
+            edges = common.forest(
+                len(texts), lambda i, rest: likeness_to(digits[i], digits[rest]) >= least
+            )
+            pairs = np.sort(prints[np.array(edges, np.int64).reshape(-1, 2)], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(pairs[:, 0])], ["a", "b"])
+
+    return run
+
+
+def near_links(prints: DataFrame, least: float = NEAR, block: int = common.CELL) -> DataFrame:
+    """(a, b), b < a, over distinct (print, fingerprint): verified links that connect all near ones of a band."""
+    banded = prints.select("print", "fingerprint").mapInArrow(_banded, "band long, print long")
+    dealt = common.stored(common.cells(banded, "band", "print", block), "bands")
+    whole = dealt.join(prints.select("print", "fingerprint"), "print")
+    order = ["cell_key", "low", "high"]
+    sorted_cells = whole.repartition(common.partitions(prints.sparkSession), *order).sortWithinPartitions(*order)
+    return sorted_cells.mapInArrow(_verified(least), "a long, b long").distinct()
+
+
+def _packed(column: str) -> Column:
+    """Hex digits as bytes, with a first digit that tells whether their number is even."""
+    odd = F.length(column) % 2 == 1
+    return F.unhex(F.concat(F.when(odd, "1").otherwise("00"), F.col(column)))
+
+
+def _unpacked(column: str) -> Column:
+    digits = F.lower(F.hex(column))
+    skipped = F.when(digits.startswith("1"), 2).otherwise(3)
+    return F.substring(digits, skipped, F.length(digits))
+
+
+def near_classes(found: DataFrame, least: float = NEAR) -> DataFrame:
+    """The rows of `fingerprints` and class_id, the least doc_id reached over near fingerprints.
+
+    Digits are bytes while rows are stored and moved: half the size.
+    """
+    texts = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    rows = common.stored(found.withColumns({c: _packed(c) for c in texts}), "walks")
+    distinct = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    # Numbers instead of hashes, so that no two fingerprints share one; stored once, so they stay.
+    prints = common.stored(distinct.withColumn("print", F.monotonically_increasing_id()), "fingerprints")
+    plain = prints.select("print", _unpacked("fingerprint").alias("fingerprint"))
+    joined = simhash.components(near_links(plain, least)).toDF("print", "root")
+    root = prints.join(joined, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    named = root.groupBy("root").agg(F.min("first").alias("class_id"))
+    classes = common.stored(root.join(named, "root").select("fingerprint", "class_id"), "classes")
+    classed = rows.join(classes, "fingerprint").withColumns({c: _unpacked(c) for c in texts})
+    return classed.select(*found.columns, "class_id")
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(common.table(spark, sf_dir, "documents"))
+    return near_classes(fingerprints(common.table(spark, sf_dir, "documents")))
