@@ -43,14 +43,6 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return union_all(frames[:middle]).unionByName(union_all(frames[middle:]))
 
 
-def planned_as_broadcast(frames: Sequence[DataFrame]) -> bool:
-    """Whether Spark estimates each frame within the broadcast threshold; no job runs."""
-    spark = frames[0].sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    plans = [f._jdf.queryExecution().optimizedPlan() for f in frames]
-    return all(p.stats().sizeInBytes() <= limit for p in plans)
-
-
 def left_join_null_safe(
     left: DataFrame, right: DataFrame, plain: Sequence[str], null_safe: Sequence[str]
 ) -> DataFrame:

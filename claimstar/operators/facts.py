@@ -21,7 +21,6 @@ from claimstar.functions.joins import (
     KEY_ROWS,
     bounded,
     left_join_null_safe,
-    planned_as_broadcast,
     skew_splittable_join,
 )
 from claimstar.operators.dims import CATEGORY_LEVELS, known_sources
@@ -339,10 +338,10 @@ def with_drugs(
 ) -> DataFrame:
     """Pharmacy lines with package, drug and class columns; the drug table wins over the package.
 
-    Where Spark estimates all three tables within the broadcast threshold, they are joined to the
-    lines one by one, each broadcast, and no line moves. Otherwise they are joined to each other
-    first, and the lines meet one table by one key: they move once, and lines of a hot code, or
-    without a match, are split. The rows are the same either way.
+    The tables are joined to each other first, and the lines meet one table by one key: they move
+    once, and lines of a hot code, or without a match, are split. Where the joined terminology
+    turns out to be within the broadcast threshold, adaptive execution hashes it instead of sorting
+    the lines.
     """
     packages = drug_packages.select(
         F.col("ndc11").alias("ndc_code"),
@@ -353,13 +352,9 @@ def with_drugs(
     normalized = drugs.select(
         "drug_id", "drug_name", F.col("is_brand").cast("string").alias("drug_flag")
     )
-    if planned_as_broadcast([packages, normalized, drug_classes]):
-        coded = pharmacy_claim.join(packages, "ndc_code", "left")
-        named = coded.join(normalized, "drug_id", "left").join(drug_classes, "drug_id", "left")
-    else:
-        terms = packages.filter("ndc_code is not null").join(normalized, "drug_id", "left")
-        terms = terms.join(drug_classes, "drug_id", "left")
-        named = skew_splittable_join(pharmacy_claim, terms, ["ndc_code"], "left")
+    terms = packages.filter("ndc_code is not null").join(normalized, "drug_id", "left")
+    terms = terms.join(drug_classes, "drug_id", "left")
+    named = skew_splittable_join(pharmacy_claim, terms, ["ndc_code"], "left")
     return named.withColumns(
         {
             "drug_name": F.coalesce("drug_name", "ndc_description"),
