@@ -289,11 +289,12 @@ def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         training = np.array(learn, bool)[t.doc]
         one, two = _before(t)
         one, two = one[training], two[training]
-        for node, bit in _bits(t.cls[training]):
-            for s in _slots(one, two, node):
-                on = bit.astype(bool)
-                ones += np.bincount(s[on], minlength=SLOTS)
-                zeros += np.bincount(s[~on], minlength=SLOTS)
+        # Each context has its zeros and ones next to each other, those of all bits in one count.
+        bits = np.stack([node * 2 + bit for node, bit in _bits(t.cls[training])])
+        for base, low, width in zip(_slots(one, two, 0), _OFFSET.tolist(), _WIDTH):
+            counts = np.bincount((bits + (base - low) * 2).ravel(), minlength=2 * width)
+            zeros[low : low + width] += counts[::2]
+            ones[low : low + width] += counts[1::2]
     used = np.flatnonzero(zeros + ones)
     if len(used):
         yield _rows(COUNTS, np.zeros(len(used), np.int32), used, zeros[used], ones[used])
