@@ -1,16 +1,18 @@
 """Plans: pushdown, pruning, no Python in the data path, checked broadcasts, split hot keys."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from conftest import RUN_TS, SF_DIR
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from claimstar.functions.joins import bounded, left_join_null_safe, skew_splittable_join
 from claimstar.operators import dims, enrich, facts
 from claimstar.plans.star import INTERMEDIATES, TABLES, Star
 from claimstar.sources.contracts import COST_MEASURES, schema
-from claimstar_oracle.binding import BoundInputs
+from claimstar_oracle.binding import BINDINGS, ORDERS, BoundInputs, _bind, bind_raw
 
 
 def physical(frame) -> str:
@@ -324,3 +326,55 @@ def test_empty_inputs_give_empty_tables(spark):
     star = Star(empty, RUN_TS)
     for name in (*TABLES, *INTERMEDIATES):
         assert star.table(name).isEmpty(), name
+
+
+def test_costs_are_summed_before_their_texts_are_made(spark, settings):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.debug.maxToStringFields": "500"})
+    plan = physical(BoundInputs(spark, SF_DIR)["cost"])
+    keys = re.findall(r"HashAggregate\(keys=\[(.*?)\], functions", plan)
+    assert keys and not any("person_id" in k for k in keys)
+    assert not re.search(r"Exchange hashpartitioning\(person_id", plan)
+
+
+def test_costs_of_customers_that_differ_in_what_no_text_shows(spark):
+    tables = {
+        "customer": spark.createDataFrame(
+            [(7, "MACHINERY", 1), (7, None, 5), (7, "HOUSEHOLD", 1), (7, "HOUSEHOLD", 2), (8, "BUILDING", None)],
+            "c_custkey long, c_mktsegment string, c_nationkey int",
+        ),
+        "orders": spark.createDataFrame(
+            [(1, 7, "1995-01-03", 10.5), (3, 7, "1995-01-20", 2.25), (None, 7, "1995-01-31", 1.0),
+             (2, 7, "1995-01-20", 4.0), (5, 8, None, 3.0), (5, 8, None, None), (-1, 8, None, 8.0), (1, None, None, 1.0)],
+            "o_orderkey long, o_custkey long, o_orderdate string, o_totalprice double",
+        ).withColumn("o_orderdate", F.col("o_orderdate").cast("date")),
+    }
+    binding = BINDINGS["cost"]
+    plain = replace(binding, rows=ORDERS)
+    found, wanted = (_bind(b, tables.__getitem__) for b in (binding, plain))
+    assert found.schema == wanted.schema
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+    assert found.count() == 5
+
+
+def test_cells_do_not_move_with_their_own_columns(spark, settings):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.debug.maxToStringFields": "500"})
+    months = facts.member_months(*month_inputs(spark))
+    assert not any("cell" in columns and "person_id" in columns for columns in moved(months))
+
+
+def test_texts_of_raw_lines_are_made_in_as_many_tasks_as_spark_shuffles_to(spark, settings):
+    settings({"spark.sql.shuffle.partitions": "7"})
+    for name in ("medical_claim", "pharmacy_claim"):
+        lines = bind_raw(spark, SF_DIR, name)
+        assert lines.select(F.spark_partition_id()).distinct().count() == 7
+
+
+def test_portable_rounds_only_what_has_more_decimals(spark):
+    values = ["0.1", "-0.07", "1234567890123456.78", "-9999999999999999.99", "0.00", None]
+    frame = spark.createDataFrame([(v,) for v in values], "v string").selectExpr(
+        "cast(v as decimal(18,2)) as two", "cast(v as decimal(38,8)) + 0.00000051BD as eight",
+        "cast(v as double) / 3 as paid", "cast(v as decimal(24,6)) as six",
+    )
+    found = registry.portable(frame)
+    assert found.collect() == frame.select(*[F.round(F.col(c).cast("double"), 6).alias(c) for c in frame.columns]).collect()
+    assert physical(found).count("round(") == 2
